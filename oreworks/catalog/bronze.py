@@ -232,7 +232,7 @@ def _select_by_ids(spark, sf_dir):
         F.col("user_id").cast("string").alias("user_id"),
         "value",
     )
-    return landing.select_ids(events, ids, "user_id", ["id"])
+    return landing.select_ids(events, ids, "user_id")
 
 
 def _landed(spark, sf_dir, damage=False):

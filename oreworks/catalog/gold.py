@@ -24,6 +24,7 @@ from oreworks.plans.adapters import (
     silver_snapshot,
     table,
 )
+from oreworks.sinks.files import materialize
 
 _CHANGE = "price_change_percentage_24h"
 _CORE_SQL = """
@@ -46,6 +47,12 @@ def _current(spark, sf_dir, *columns, ranked=False):
     return flagged_snapshot(spark, sf_dir, columns=wanted, ranked=ranked)
 
 
+def _silver(spark, sf_dir, *columns):
+    """The same without flags, for views that read it more than once."""
+    written = materialize(silver_snapshot(spark, sf_dir).select(*columns), "silver")
+    return written.withColumn("is_current", F.lit(True))
+
+
 @query(
     "gold_by_category",
     silver_sql(
@@ -232,7 +239,7 @@ def _top_movers(spark, sf_dir):
     ),
 )
 def _market_dominance(spark, sf_dir):
-    return views.market_dominance(_current(spark, sf_dir, "symbol", "name", "market_cap"))
+    return views.market_dominance(_silver(spark, sf_dir, "coin_id", "symbol", "name", "market_cap"))
 
 
 @query(
@@ -244,7 +251,7 @@ def _market_dominance(spark, sf_dir):
 def _order_value_rank(spark, sf_dir):
     """Global rank over a column with many ties."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return global_rank(orders, "o_orderdate", ["o_orderkey"], output="recency_rank")
+    return global_rank(orders, "o_orderdate", output="recency_rank")
 
 
 @query(
@@ -260,7 +267,7 @@ def _order_value_rank(spark, sf_dir):
     ),
 )
 def _volatility_analysis(spark, sf_dir):
-    current = _current(spark, sf_dir, "price_volatility_24h")
+    current = _silver(spark, sf_dir, "market_cap_category", "price_volatility_24h")
     result = views.volatility_analysis(current, group_limit=len(PART_CAPS.labels))
     return rounded(result, 6, "avg_volatility", "stddev_volatility", "median_volatility")
 

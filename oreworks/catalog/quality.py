@@ -324,13 +324,13 @@ def _zscore_anomalies(spark, sf_dir):
            avg(l_extendedprice) AS mp, stddev_samp(l_extendedprice) AS sp FROM lineitem),
        u AS (
          SELECT l_orderkey, l_linenumber, l_partkey, 'l_quantity' AS column_name,
-           l_quantity AS value FROM lineitem, s WHERE abs((l_quantity - mq) / sq) > 1.6
+           l_quantity AS anomaly_value FROM lineitem, s WHERE abs((l_quantity - mq) / sq) > 1.6
          UNION ALL
          SELECT l_orderkey, l_linenumber, l_partkey, 'l_extendedprice', l_extendedprice
            FROM lineitem, s WHERE abs((l_extendedprice - mp) / sp) > 1.6)
        SELECT * FROM (
          SELECT *, CAST(row_number() OVER (PARTITION BY column_name
-           ORDER BY l_orderkey, l_linenumber, l_partkey, value) AS INTEGER) AS position FROM u)
+           ORDER BY l_orderkey, l_linenumber, l_partkey, anomaly_value) AS INTEGER) AS position FROM u)
        WHERE position <= 10""",
 )
 def _zscore_examples(spark, sf_dir):

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreworks.config import SPIKE_STDDEVS
 from oreworks.operators.skew import attach_group_values
+from oreworks.sinks.files import materialize
 
 
 def price_anomaly(change_pct: Column, threshold: float) -> Column:
@@ -26,36 +25,36 @@ def flag_volume_spikes(
     df: DataFrame,
     group: str = "market_cap_category",
     value: str = "total_volume",
-    key: Sequence[str] = ("coin_id",),
     width: float = SPIKE_STDDEVS,
     group_limit: int | None = None,
 ) -> DataFrame:
     """Flag rows above mean + ``width`` sample deviations of their group.
 
     The group figures come from a partial aggregate and are joined back; a window would move every
-    row of a group into one task. ``df`` is read twice, so pass a written table.
+    row of a group into one task. ``df`` is read again for the join, so pass a written table.
+    Without a limit of the number of groups, their figures are written before they are joined.
     """
     stats = df.groupBy(group).agg(
-        (F.avg(value) + F.lit(width) * F.stddev_samp(value)).alias("_spike_above")
+        (F.avg(value) + F.lit(width) * F.stddev_samp(value)).alias("_spike_above"),
+        F.count("*").alias("_group_size"),
     )
+    if group_limit is None:
+        stats = materialize(stats, "group-stats")
     return (
-        attach_group_values(df, stats, [group], key, group_limit)
+        attach_group_values(df, stats, [group], group_limit, size="_group_size")
         .withColumn(
             "is_volume_spike", F.coalesce(F.col(value) > F.col("_spike_above"), F.lit(False))
         )
-        .drop("_spike_above")
+        .drop("_spike_above", "_group_size")
     )
 
 
 def detect_anomalies(
-    df: DataFrame,
-    price_threshold: float,
-    key: Sequence[str] = ("coin_id",),
-    group_limit: int | None = None,
+    df: DataFrame, price_threshold: float, group_limit: int | None = None
 ) -> DataFrame:
     """Both flags."""
     flagged = flag_price_anomalies(df, price_threshold)
-    return flag_volume_spikes(flagged, key=key, group_limit=group_limit)
+    return flag_volume_spikes(flagged, group_limit=group_limit)
 
 
 def anomalous_rows(df: DataFrame) -> DataFrame:

@@ -285,14 +285,15 @@ def zscore_examples(
                 F.when(
                     _is_outlier(c, moments, z_threshold),
                     F.struct(
-                        F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")
+                        F.lit(c).alias("column_name"),
+                        F.col(c).cast("double").alias("anomaly_value"),
                     ),
                 )
                 for c in columns
             ]
         )
     )
-    order = Window.partitionBy("column_name").orderBy(*order_by, "value")
+    order = Window.partitionBy("column_name").orderBy(*order_by, "anomaly_value")
     return (
         df.select(*order_by, F.inline(picked))
         .withColumn("position", F.row_number().over(order))

@@ -13,12 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oreworks.operators.skew import attach_group_values
+from oreworks.operators.skew import attach_group_values, balanced_join
 
 # More ranges than this gain nothing: each lookup walks the list of range limits.
 MAX_RANGES = 1024
-# A value counts as heavy above this share of the rows, so there are at most this many of them.
-MAX_HEAVY_VALUES = 1000
 
 
 def _range_count(df: DataFrame) -> int:
@@ -44,7 +42,10 @@ def value_positions(
     )
     steps = [i / ranges for i in range(1, ranges)]
     limits = counts.agg(F.percentile_approx(value, steps)).scalar()
-    below = F.size(F.filter("_limits", lambda limit: limit < F.col(value)))
+    # Never null, or the optimizer would test it on every raw row before the counting.
+    below = F.coalesce(
+        F.size(F.filter("_limits", lambda limit: limit < F.col(value))), F.lit(0)
+    )
     ranged = (
         counts.withColumn("_limits", limits)
         .withColumn("_range", -below if descending else below)
@@ -85,40 +86,17 @@ def _sum_before(column: str, window) -> Column:
 def global_rank(
     df: DataFrame,
     value: str,
-    key: Sequence[str],
     output: str = "rank",
     descending: bool = True,
     ranges: int | None = None,
 ) -> DataFrame:
     """Rank of every row by ``value``: ties share a rank and leave a gap; null gives null.
 
-    ``key`` names columns that spread rows of one value over many tasks. ``df`` is read more than
-    once, so pass a written table, not a long derivation.
+    ``df`` is read more than once, so pass a written table, not a long derivation.
     """
-    ranks = value_positions(df, value, descending=descending, ranges=ranges).select(
-        F.col(value).alias("_v"), "n", (F.col("start") + 1).alias("_rank")
-    )
-    share = df.filter(F.col(value).isNotNull()).agg(
-        (F.count("*") / F.lit(MAX_HEAVY_VALUES)).alias("x")
-    )
-    # More rows than 1/1000 of the table: at most 999 such values can exist.
-    heavy = ranks.filter(F.col("n") > share.scalar()).select(
-        F.col("_v").alias("_hv"), F.col("_rank").alias("_heavy_rank")
-    )
-    light = ranks.select("_v", "_rank").withColumn("_slot", F.lit(-1).cast("bigint"))
-    marked = df.join(F.broadcast(heavy), F.col(value) == F.col("_hv"), "left").drop("_hv")
-    is_light = F.col(value).isNotNull() & F.col("_heavy_rank").isNull()
-    # Heavy and null rows never match below; their slot keeps them apart from one another.
-    spread = F.pmod(F.xxhash64(*key), F.lit(1 << 20))
-    marked = marked.withColumn("_lv", F.when(is_light, F.col(value))).withColumn(
-        "_ls", F.when(is_light, F.lit(-1).cast("bigint")).otherwise(spread)
-    )
-    match = (F.col("_lv") == F.col("_v")) & (F.col("_ls") == F.col("_slot"))
-    return (
-        marked.join(light, match, "left")
-        .withColumn(output, F.coalesce("_heavy_rank", "_rank"))
-        .drop("_lv", "_ls", "_v", "_slot", "_heavy_rank", "_rank")
-    )
+    positions = value_positions(df, value, descending=descending, ranges=ranges)
+    ranks = positions.select(value, (F.col("start") + 1).alias(output))
+    return balanced_join(df, ranks, [value], "left", counts=positions.select(value, "n"))
 
 
 def share_of_total(df: DataFrame, value: str, output: str) -> DataFrame:
@@ -144,7 +122,7 @@ def exact_percentile(
         .groupBy(*groups)
         .agg((F.lit(fraction) * (F.count("*") - 1)).alias("_at"))
     )
-    placed = attach_group_values(positions, sizes, groups, [value], group_limit)
+    placed = attach_group_values(positions, sizes, groups, group_limit)
     low, high = F.floor("_at"), F.ceil("_at")
     end = F.col("start") + F.col("n")
     # At most two values of each group pass: those around the wanted position.

@@ -147,7 +147,7 @@ def market_snapshot(
         return records
     columns = records.columns
     written = materialize(records.drop("market_cap_rank"), "snapshot")
-    with_rank = global_rank(written, "market_cap", ["id"], output="market_cap_rank")
+    with_rank = global_rank(written, "market_cap", output="market_cap_rank")
     return with_rank.withColumn("market_cap_rank", F.col("market_cap_rank").cast("int")).select(
         *columns
     )

@@ -124,7 +124,7 @@ def market_dominance(versions: DataFrame) -> DataFrame:
     held = only_current(versions).filter(F.col("market_cap").isNotNull())
     held = held.select("coin_id", "symbol", "name", "market_cap")
     shared = share_of_total(held, "market_cap", "market_dominance_pct")
-    ranked = global_rank(shared, "market_cap", ["coin_id"], output="dominance_rank")
+    ranked = global_rank(shared, "market_cap", output="dominance_rank")
     return ranked.orderBy(F.desc("market_cap"), "coin_id")
 
 

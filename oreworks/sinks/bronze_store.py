@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from oreworks.functions import ts_literal
 from oreworks.operators.skew import salted_join
-from oreworks.sinks.files import child_names, delete, exists
+from oreworks.sinks.files import child_names, delete, exists, observed_counts
 from oreworks.sinks.tables import with_flag, write_table
 
 PARTITIONS = ("accepted", "ingest_date")
@@ -51,7 +51,7 @@ def land_payloads(bronze: DataFrame, path: str) -> dict[str, int]:
         seen, F.count_if(F.col("accepted")).alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected")
     )
     write_table(counted, path, "append", partition_by=PARTITIONS)
-    return dict(seen.get)
+    return observed_counts(seen, ("accepted", "rejected"))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -101,7 +101,7 @@ def archive_bronze(
         .partitionBy(*PARTITIONS)
         .parquet(archive_path)
     )
-    moved = seen.get["rows"]
+    moved = observed_counts(seen, ("rows",))["rows"]
     for group in child_names(spark, path):
         if not group.startswith("accepted="):
             continue

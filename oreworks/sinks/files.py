@@ -4,24 +4,35 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the one the session names for checkpoints, which all executors reach.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="oreworks-")
         spark.conf.set(_CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/oreworks/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/oreworks/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder under the one the session names for checkpoints, which all executors reach.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove all that this application put under the checkpoint folder; call it at the end."""
+    return delete(spark, _scratch_root(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -54,3 +65,14 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, target = _path(spark, path)
     return fs.delete(target, True)
+
+
+def observed_counts(seen: Observation, names: Sequence[str]) -> dict[str, int]:
+    """Counts taken by a finished write. A write without any input task reports no row: zeros."""
+    try:
+        found = seen.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        found = {}
+    return {n: int(found.get(n) or 0) for n in names}

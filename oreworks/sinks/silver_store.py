@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from oreworks.config import TRACKED_COLUMNS
 from oreworks.operators.history import latest_per_key, scd2_changes
-from oreworks.sinks.files import child_names, delete, exists
+from oreworks.sinks.files import child_names, delete, exists, observed_counts
 from oreworks.sinks.tables import with_flag
 
 CHANGES = ("new", "version", "closed", "carried")
@@ -91,7 +91,7 @@ def merge_batch(
         .partitionBy("is_current")
         .parquet(f"{root}/run={label}")
     )
-    return dict(seen.get)
+    return observed_counts(seen, CHANGES)
 
 
 def drop_superseded(spark: SparkSession, root: str, keep: int = 2) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreworks.sinks.files import delete, exists, shared_dir
+from oreworks.sinks.files import delete, exists, observed_counts, shared_dir
 
 
 def write_table(
@@ -47,7 +47,7 @@ def write_flagged(flagged: DataFrame, path: str, mode: str = "overwrite") -> dic
         seen, F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("invalid")
     )
     counted.write.mode(mode).partitionBy("is_valid").parquet(path)
-    return dict(seen.get)
+    return observed_counts(seen, ("valid", "invalid"))
 
 
 def with_flag(df: DataFrame, flag: str) -> DataFrame:
@@ -80,7 +80,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: str, stage: str =
     staged = shared_dir(spark, stage)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
-    rows = seen.get["rows"]
+    rows = observed_counts(seen, ("rows",))["rows"]
     if rows:
         (
             spark.read.parquet(staged)
@@ -113,6 +113,11 @@ def _sortable_number(column: Column, kind: T.DataType) -> Column:
     return column.cast("double")
 
 
+def _count_below(limits: Column, number: Column) -> Column:
+    below = F.size(F.filter(limits, lambda limit: limit < number))
+    return F.greatest(below, F.lit(0))  # no limits at all when the column holds no value
+
+
 def with_z_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
     """Add the Morton key ``_z``: each column becomes a range number, and the bits of the numbers interleave.
 
@@ -128,8 +133,7 @@ def with_z_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFram
     limited = df.withColumn("_limits", limits)
     key = F.lit(0).cast("bigint")
     for place, (c, number) in enumerate(numbers.items()):
-        cell = F.size(F.filter(F.col("_limits")[c], lambda x, n=number: x < n))
-        cell = F.greatest(cell, F.lit(0)).cast("bigint")
+        cell = _count_below(F.col("_limits")[c], number).cast("bigint")
         for bit in range(bits):
             one = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
             key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))

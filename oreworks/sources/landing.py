@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.functions import ts_literal
-from oreworks.operators.skew import salted_join
+from oreworks.operators.skew import balanced_join
 from oreworks.schemas import BRONZE_SCHEMA
 
 _EXACT = "decimal(38,6)"
@@ -164,9 +164,9 @@ def flatten_structs(df: DataFrame, separator: str = ".") -> DataFrame:
     return df.select(*[F.col(quoted(p)).alias(separator.join(p)) for p in leaves(df.schema)])
 
 
-def select_ids(df: DataFrame, ids: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+def select_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Records whose id occurs in ``ids``; an unknown id gives no row."""
-    return salted_join(df, ids.select(key).distinct(), [key], "left_semi", spread_by)
+    return balanced_join(df, ids.select(key).distinct(), [key], "left_semi")
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
