@@ -2,10 +2,10 @@ from oreworks.functions.expressions import (
     cap_category,
     days_between,
     exact_sum,
-    nan_as_null,
     percent_of,
     ts_literal,
     utc_timestamp,
+    utc_timestamp_sql,
 )
 from oreworks.functions.momentum import momentum, register_momentum
 
@@ -14,9 +14,9 @@ __all__ = [
     "days_between",
     "exact_sum",
     "momentum",
-    "nan_as_null",
     "percent_of",
     "register_momentum",
     "ts_literal",
     "utc_timestamp",
+    "utc_timestamp_sql",
 ]

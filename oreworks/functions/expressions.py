@@ -15,19 +15,23 @@ def ts_literal(ts: datetime) -> Column:
     return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def utc_timestamp(text: Column) -> Column:
-    """Parse ISO text to a UTC wall-clock time; bad text gives null.
+def utc_timestamp_sql(column: str) -> str:
+    """SQL that parses ISO text to a UTC wall-clock time; bad text gives null.
 
     A trailing ``Z`` or no zone means UTC; a numeric offset is taken off. The session time zone
     plays no part, so the same file gives the same Silver rows on every cluster.
     """
-    wall = text.try_cast("timestamp_ntz")
     offset = r"T.*([+-])(\d{2}):?(\d{2})$"
-    hours = F.regexp_extract(text, offset, 2).try_cast("int")
-    minutes = hours * 60 + F.regexp_extract(text, offset, 3).try_cast("int")
-    signed = F.when(F.regexp_extract(text, offset, 1) == "-", -minutes).otherwise(minutes)
-    shifted = wall - F.make_dt_interval(mins=signed)
-    return F.when(text.rlike(offset), shifted).otherwise(wall)
+    wall = f"try_cast({column} AS TIMESTAMP_NTZ)"
+    part = lambda i: f"regexp_extract({column}, r'{offset}', {i})"
+    minutes = f"try_cast({part(2)} AS INT) * 60 + try_cast({part(3)} AS INT)"
+    signed = f"if({part(1)} = '-', -1, 1) * ({minutes})"
+    shifted = f"{wall} - make_dt_interval(0, 0, {signed})"
+    return f"CASE WHEN {column} RLIKE r'{offset}' THEN {shifted} ELSE {wall} END"
+
+
+def utc_timestamp(column: str) -> Column:
+    return F.expr(utc_timestamp_sql(column))
 
 
 def percent_of(part: Column, whole: Column) -> Column:
@@ -51,10 +55,6 @@ def cap_category(cap: Column, buckets: CapBuckets) -> Column:
     return F.lit(buckets.default) if label is None else label.otherwise(buckets.default)
 
 
-def nan_as_null(column: Column) -> Column:
-    return F.when(~F.isnan(column), column)
-
-
 def days_between(start: Column, end: Column) -> Column:
     """Number of day boundaries between two times."""
     return F.date_diff(end.cast("date"), start.cast("date"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -58,41 +58,41 @@ def scd2_changes(
 
     kinds = {f.name: f.dataType for f in (*batch.schema.fields, *current.schema.fields)}
     columns = [c for c in kinds if c not in VERSION_COLUMNS]
-    layout = columns + list(opened)
 
     def packed(df: DataFrame, side: str) -> DataFrame:
         """Keys plus the whole row as one struct, missing columns as null."""
         have = set(df.columns)
-        row = F.struct(
-            *[(F.col(c) if c in have else F.lit(None)).cast(kinds[c]).alias(c) for c in columns],
-            *[F.col(c) for c in VERSION_COLUMNS if c in have],
-        )
-        return df.select(*[F.col(k).alias(f"{side}_{k}") for k in key], row.alias(side))
-
-    same_key = F.lit(True)
-    for k in key:
-        same_key = same_key & (F.col(f"old_{k}") == F.col(f"new_{k}"))
-    joined = packed(current, "old").join(packed(batch, "new"), same_key, "full_outer")
-
-    old, new = F.col("old"), F.col("new")
-    is_new, in_batch = old.isNull(), new.isNotNull()
-    changed = F.lit(False)
-    for c in tracked:
-        changed = changed | ~old[c].eqNullSafe(new[c])
-    closes = ~is_new & ((in_batch & changed) | (F.lit(close_missing) & ~in_batch))
-
-    def version(row: Column, parts: dict[str, Column], change: Column) -> Column:
-        return F.struct(
-            *[parts.get(c, row[c]).alias(c) for c in layout], change.alias("change")
-        )
-
-    ended = {"valid_to": stamp, "is_current": F.lit(False)}
-    kept = F.when(closes, version(old, ended, F.lit("closed"))).when(
-        ~is_new, version(old, {}, F.lit("carried"))
+        fields = [
+            f"CAST({f'`{c}`' if c in have else 'NULL'} AS {kinds[c].simpleString()}) AS `{c}`"
+            for c in columns
+        ]
+        fields += [c for c in VERSION_COLUMNS if c in have]
+        keys = [f"`{k}` AS `{side}_{k}`" for k in key]
+        return df.selectExpr(*keys, f"struct({', '.join(fields)}) AS {side}")
+
+    same_key = " AND ".join(f"`old_{k}` = `new_{k}`" for k in key)
+    joined = packed(current, "old").join(packed(batch, "new"), F.expr(same_key), "full_outer")
+
+    changed = " OR ".join(f"NOT (old.`{c}` <=> new.`{c}`)" for c in tracked)
+    closes = f"new IS NOT NULL AND ({changed})" + (" OR new IS NULL" if close_missing else "")
+    at = f"TIMESTAMP_NTZ '{run_ts.isoformat(sep=' ')}'"
+
+    def version(row: str, updated: str, start: str, end: str, is_open: str, change: str) -> str:
+        values = [f"{row}.`{c}` AS `{c}`" for c in columns]
+        values += [f"{updated} AS updated_at", f"{start} AS valid_from"]
+        values += [f"CAST({end} AS TIMESTAMP_NTZ) AS valid_to", f"{is_open} AS is_current"]
+        return f"struct({', '.join(values)}, {change} AS change)"
+
+    ended = version("old", "old.updated_at", "old.valid_from", at, "false", "'closed'")
+    carried = version("old", "old.updated_at", "old.valid_from", "NULL", "true", "'carried'")
+    label = "if(old IS NULL, 'new', 'version')"
+    opens = version("new", at, at, "NULL", "true", label)
+    return joined.selectExpr(
+        f"""inline(array_compact(array(
+            CASE WHEN old IS NOT NULL AND ({closes}) THEN {ended}
+                 WHEN old IS NOT NULL THEN {carried} END,
+            CASE WHEN new IS NOT NULL AND (old IS NULL OR {changed}) THEN {opens} END)))"""
     )
-    label = F.when(is_new, F.lit("new")).otherwise(F.lit("version"))
-    fresh = F.when(in_batch & (is_new | changed), version(new, opened, label))
-    return joined.select(F.inline(F.array_compact(F.array(kept, fresh))))
 
 
 def as_of_versions(versions: DataFrame, at: datetime) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from oreworks.operators.ranges import range_steps, with_range_number
 from oreworks.operators.skew import attach_group_values, balanced_join
 
-# More ranges than this gain nothing: each lookup walks the list of range limits.
-MAX_RANGES = 1024
+# The limits of the ranges travel with the plan, so their number is bounded.
+MAX_RANGES = 4096
 
 
 def _range_count(df: DataFrame) -> int:
@@ -32,7 +33,7 @@ def value_positions(
     ranges: int | None = None,
 ) -> DataFrame:
     """One row per distinct non-null value (and group): ``n`` rows hold it, ``start`` precede it."""
-    ranges = ranges or _range_count(df)
+    bits = max(1, ((ranges or _range_count(df)) - 1).bit_length())
     groups = list(groups)
     counts = (
         df.filter(F.col(value).isNotNull())
@@ -40,19 +41,12 @@ def value_positions(
         .agg(F.count("*").alias("n"))
         .filter("n > 0")
     )
-    steps = [i / ranges for i in range(1, ranges)]
-    limits = counts.agg(F.percentile_approx(value, steps)).scalar()
-    # Never null, or the optimizer would test it on every raw row before the counting.
-    below = F.coalesce(
-        F.size(F.filter("_limits", lambda limit: limit < F.col(value))), F.lit(0)
-    )
-    ranged = (
-        counts.withColumn("_limits", limits)
-        .withColumn("_range", -below if descending else below)
-        .drop("_limits")
-    )
+    limits = counts.agg(F.percentile_approx(value, range_steps(bits))).scalar()
+    ranged = with_range_number(counts, F.col(value), limits, bits, "_range")
+    if descending:
+        ranged = ranged.withColumn("_range", -F.col("_range"))
 
-    # At most ``ranges`` rows per group reach this window.
+    # One row per range (of each group) reaches this window.
     before_range = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_range")
     offsets = (
         ranged.groupBy(*groups, "_range")
@@ -64,7 +58,7 @@ def value_positions(
     within = Window.partitionBy(*groups, "_range").orderBy(order)
     ordered = ranged.withColumn("_before", _sum_before("n", within))
     if not groups:
-        # ``offsets`` has at most ``ranges`` rows here.
+        # One row per range: at most MAX_RANGES.
         placed = ordered.join(F.broadcast(offsets), "_range")
     else:
         # One range of one group is a small share of the distinct values, so this is balanced.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.config import STRICT_CAPS, CapBuckets
-from oreworks.functions import cap_category, nan_as_null, percent_of, ts_literal, utc_timestamp
+from oreworks.functions import cap_category, ts_literal, utc_timestamp_sql
 from oreworks.schemas import OPTIONAL_FIELDS
 
 # The Silver columns taken from a record, the renamed ones and the time ones.
@@ -49,8 +49,15 @@ NUMERIC_COLUMNS = ("current_price", "market_cap", "total_volume", "market_cap_ra
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN becomes null in every float column."""
-    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: nan_as_null(F.col(c)) for c in floats}) if floats else df
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floats:
+        return df
+    return df.selectExpr(
+        *[
+            f"CASE WHEN NOT isnan(`{c}`) THEN `{c}` END AS `{c}`" if c in floats else f"`{c}`"
+            for c in df.columns
+        ]
+    )
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -81,28 +88,26 @@ def zero_as_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def project_silver(df: DataFrame) -> DataFrame:
     """Select, rename and parse. Optional feed columns are carried along when present."""
     wanted = SILVER_COLUMNS + tuple(c for c in OPTIONAL_FIELDS if c in df.columns)
-    return df.select(
-        *[
-            (utc_timestamp(F.col(c)) if c in TIME_COLUMNS else F.col(c)).alias(
-                SILVER_NAMES.get(c, c)
-            )
-            for c in wanted
-        ]
-    )
+    value = lambda c: utc_timestamp_sql(c) if c in TIME_COLUMNS else c
+    return df.selectExpr(*[f"{value(c)} AS {SILVER_NAMES.get(c, c)}" for c in wanted])
+
+
+# A zero divisor or a null gives null.
+DERIVED_METRICS = {
+    "price_volatility_24h": "try_divide(high_24h - low_24h, low_24h) * 100",
+    "volume_to_market_cap_ratio": "try_divide(total_volume, market_cap)",
+    "supply_percentage": "try_divide(circulating_supply, max_supply) * 100",
+    "distance_from_ath_pct": "try_divide(ath - current_price, ath) * 100",
+    "distance_from_atl_pct": "try_divide(current_price - atl, atl) * 100",
+}
 
 
 def derive_metrics(df: DataFrame, buckets: CapBuckets = STRICT_CAPS) -> DataFrame:
     """Volatility, size class, ratios and distances, in one projection."""
-    col = F.col
-    return df.withColumns(
-        {
-            "price_volatility_24h": percent_of(col("high_24h") - col("low_24h"), col("low_24h")),
-            "market_cap_category": cap_category(col("market_cap"), buckets),
-            "volume_to_market_cap_ratio": F.try_divide(col("total_volume"), col("market_cap")),
-            "supply_percentage": percent_of(col("circulating_supply"), col("max_supply")),
-            "distance_from_ath_pct": percent_of(col("ath") - col("current_price"), col("ath")),
-            "distance_from_atl_pct": percent_of(col("current_price") - col("atl"), col("atl")),
-        }
+    return df.select(
+        "*",
+        *[F.expr(f"{e} AS {name}") for name, e in DERIVED_METRICS.items()],
+        cap_category(F.col("market_cap"), buckets).alias("market_cap_category"),
     )
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from oreworks.config import CapBuckets
-from oreworks.functions import ts_literal
 from oreworks.operators.anomalies import detect_anomalies
 from oreworks.operators.ranking import global_rank
 from oreworks.operators.silver import to_silver
@@ -30,17 +28,14 @@ SNAPSHOT_DAYS = (datetime(1995, 3, 31), datetime(1998, 6, 30), datetime(1998, 7,
 SNAPSHOT_SOURCE = "lineitem"
 RECENT_DAYS = 90
 
-_ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def priced_lines(spark: SparkSession, sf_dir: str, as_of: datetime) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    price = F.col("l_extendedprice") / F.col("l_quantity")
-    return lines.filter(F.col("l_shipdate") <= ts_literal(as_of)).withColumn("px", price)
+    shipped = table(spark, sf_dir, "lineitem").filter(f"l_shipdate <= TIMESTAMP_NTZ '{as_of}'")
+    return shipped.selectExpr("*", "l_extendedprice / l_quantity AS px")
 
 
 def recent_prices(lines: DataFrame, depth: int = 4) -> DataFrame:
@@ -49,21 +44,15 @@ def recent_prices(lines: DataFrame, depth: int = 4) -> DataFrame:
     The row limit applies in each task before the shuffle, so a part that holds a third of all
     lines sends ``depth`` rows per task.
     """
-    newest = [
-        F.desc(c)
-        for c in (
-            "l_shipdate",
-            "l_orderkey",
-            "l_linenumber",
-            "l_suppkey",
-            "l_extendedprice",
-            "l_quantity",
-        )
-    ]
-    nth = F.row_number().over(Window.partitionBy("l_partkey").orderBy(*newest))
-    last = lines.withColumn("nth", nth).filter(F.col("nth") <= depth)
-    return last.groupBy("l_partkey").agg(
-        *[F.max(F.when(F.col("nth") == i, F.col("px"))).alias(f"px{i}") for i in _upto(depth)]
+    newest = """l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC,
+        l_extendedprice DESC, l_quantity DESC"""
+    numbered = lines.selectExpr(
+        "l_partkey", "px", f"row_number() OVER (PARTITION BY l_partkey ORDER BY {newest}) AS nth"
+    )
+    return (
+        numbered.filter(f"nth <= {depth}")
+        .groupBy("l_partkey")
+        .agg(*[F.expr(f"max(CASE WHEN nth = {i} THEN px END) AS px{i}") for i in _upto(depth)])
     )
 
 
@@ -80,77 +69,70 @@ def market_snapshot(
     back; otherwise the rank is null.
     """
     lines = priced_lines(spark, sf_dir, as_of)
-    px, shipped = F.col("px"), F.col("l_shipdate")
-    window_start = ts_literal(as_of) - F.make_dt_interval(days=F.lit(RECENT_DAYS))
-    recent_px = F.when(shipped > window_start, px)
+    epoch = "TIMESTAMP_NTZ '1970-01-01'"
+    recent = f"l_shipdate > TIMESTAMP_NTZ '{as_of - timedelta(days=RECENT_DAYS)}'"
     # Negated time: of equal prices the earliest counts.
-    earliest = -F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), shipped)
-    at_high, at_low = F.struct(px, earliest.alias("t")), F.struct(-px, earliest.alias("t"))
-    figures = lines.groupBy("l_partkey").agg(
-        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("market_cap"),
-        F.sum(F.col("l_quantity").cast("bigint")).alias("total_volume"),
-        F.max(recent_px).alias("high_24h"),
-        F.min(recent_px).alias("low_24h"),
-        F.max(px).alias("ath"),
-        F.min(px).alias("atl"),
-        F.count("*").cast("double").alias("circulating_supply"),
-        F.max(shipped).alias("last_ship"),
-        F.max(at_high).getField("t").alias("high_at"),
-        F.max(at_low).getField("t").alias("low_at"),
-    )
-    prices = recent_prices(lines)
+    earliest = f"-timestampdiff(SECOND, {epoch}, l_shipdate)"
+    figures = {
+        "market_cap": "sum(CAST(round(l_extendedprice * 100) AS BIGINT))",
+        "total_volume": "sum(CAST(l_quantity AS BIGINT))",
+        "high_24h": f"max(CASE WHEN {recent} THEN px END)",
+        "low_24h": f"min(CASE WHEN {recent} THEN px END)",
+        "ath": "max(px)",
+        "atl": "min(px)",
+        "circulating_supply": "CAST(count(*) AS DOUBLE)",
+        "last_ship": "max(l_shipdate)",
+        "high_at": f"max(struct(px, {earliest} AS t)).t",
+        "low_at": f"max(struct(-px, {earliest} AS t)).t",
+    }
+    totals = lines.groupBy("l_partkey").agg(*[F.expr(f"{e} AS {n}") for n, e in figures.items()])
     part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
-    px1 = F.col("px1")
-
-    def change(i: int):
-        return F.try_divide(px1 - F.col(f"px{i}"), F.col(f"px{i}")) * 100
 
-    def iso(ts):
-        return F.date_format(ts, _ISO)
-
-    def at(seconds: str):
-        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-        return iso(epoch + F.make_dt_interval(secs=-F.col(seconds)))
-
-    size = F.col("p_size")
+    def change(i: int) -> str:
+        return f"try_divide(px1 - px{i}, px{i}) * 100"
+
+    def iso(moment: str) -> str:
+        return f"""date_format({moment}, "yyyy-MM-dd'T'HH:mm:ss'Z'")"""
+
+    def at(seconds: str) -> str:
+        return iso(f"{epoch} + make_dt_interval(0, 0, 0, -{seconds})")
+
+    fields = {
+        "id": "CAST(l_partkey AS STRING)",
+        "symbol": "p_brand",
+        "name": "p_name",
+        "current_price": "px1",
+        "market_cap": "market_cap",
+        "market_cap_rank": "CAST(NULL AS INT)",
+        "total_volume": "total_volume",
+        "high_24h": "high_24h",
+        "low_24h": "low_24h",
+        "price_change_24h": "px1 - px2",
+        "price_change_percentage_24h": change(2),
+        "price_change_percentage_7d_in_currency": change(3),
+        "price_change_percentage_30d_in_currency": change(4),
+        "circulating_supply": "circulating_supply",
+        "total_supply": "p_retailprice",
+        "max_supply": "CAST(CASE WHEN p_size % 5 <> 0 THEN p_size END AS DOUBLE)",
+        "ath": "ath",
+        "ath_date": at("high_at"),
+        "atl": "atl",
+        "atl_date": at("low_at"),
+        "last_updated": iso("last_ship"),
+        "extracted_at": f"'{as_of.isoformat()}Z'",
+        "source": f"'{SNAPSHOT_SOURCE}'",
+        "extraction_page": "CAST(1 + floor(l_partkey / 100) AS INT)",
+    }
     records = (
-        figures.join(prices, "l_partkey")
+        totals.join(recent_prices(lines), "l_partkey")
         .join(part, "l_partkey")
-        .select(
-            F.col("l_partkey").cast("string").alias("id"),
-            F.col("p_brand").alias("symbol"),
-            F.col("p_name").alias("name"),
-            px1.alias("current_price"),
-            "market_cap",
-            F.lit(None).cast("int").alias("market_cap_rank"),
-            "total_volume",
-            "high_24h",
-            "low_24h",
-            (px1 - F.col("px2")).alias("price_change_24h"),
-            change(2).alias("price_change_percentage_24h"),
-            change(3).alias("price_change_percentage_7d_in_currency"),
-            change(4).alias("price_change_percentage_30d_in_currency"),
-            "circulating_supply",
-            F.col("p_retailprice").alias("total_supply"),
-            F.when(size % 5 != 0, size).cast("double").alias("max_supply"),
-            "ath",
-            at("high_at").alias("ath_date"),
-            "atl",
-            at("low_at").alias("atl_date"),
-            iso(F.col("last_ship")).alias("last_updated"),
-            iso(ts_literal(as_of)).alias("extracted_at"),
-            F.lit(SNAPSHOT_SOURCE).alias("source"),
-            (1 + F.floor(F.col("l_partkey") / 100)).cast("int").alias("extraction_page"),
-        )
+        .selectExpr(*[f"{e} AS {n}" for n, e in fields.items()])
     )
     if not ranked:
         return records
-    columns = records.columns
     written = materialize(records.drop("market_cap_rank"), "snapshot")
-    with_rank = global_rank(written, "market_cap", output="market_cap_rank")
-    return with_rank.withColumn("market_cap_rank", F.col("market_cap_rank").cast("int")).select(
-        *columns
-    )
+    with_rank = global_rank(written, "market_cap", output="rank")
+    return with_rank.withColumn("market_cap_rank", F.col("rank").cast("int")).select(*fields)
 
 
 def silver_snapshot(

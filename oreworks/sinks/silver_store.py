@@ -37,8 +37,12 @@ def committed_runs(spark: SparkSession, root: str) -> list[str]:
 
 
 def _read(spark: SparkSession, root: str, runs: Sequence[str]) -> DataFrame:
+    """Rows of some runs. The last one has every column, so only its schema is looked up."""
+    reader = spark.read.option("basePath", root)
     paths = [f"{root}/run={r}" for r in runs]
-    rows = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths)
+    rows = reader.parquet(paths[-1])
+    if len(paths) > 1:
+        rows = reader.schema(rows.schema).parquet(*paths)
     return with_flag(rows, "is_current")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreworks.operators.ranges import range_steps, with_range_number
 from oreworks.sinks.files import delete, exists, observed_counts, shared_dir
 
 
@@ -113,31 +114,25 @@ def _sortable_number(column: Column, kind: T.DataType) -> Column:
     return column.cast("double")
 
 
-def _count_below(limits: Column, number: Column) -> Column:
-    below = F.size(F.filter(limits, lambda limit: limit < number))
-    return F.greatest(below, F.lit(0))  # no limits at all when the column holds no value
-
-
 def with_z_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
-    """Add the Morton key ``_z``: each column becomes a range number, and the bits of the numbers interleave.
+    """Add the Morton key ``_z``: each column becomes a range number, and their bits interleave.
 
     Ranges follow the data (approximate quantiles from one aggregate), so skewed columns still
-    use all cells. A value's range number is the count of quantiles below it.
+    use all cells.
     """
-    cells = 1 << bits
-    steps = [i / cells for i in range(1, cells)]
     numbers = {c: _sortable_number(F.col(c), df.schema[c].dataType) for c in columns}
-    limits = df.agg(
-        F.struct(*[F.percentile_approx(n, steps).alias(c) for c, n in numbers.items()]).alias("l")
-    ).scalar()
-    limited = df.withColumn("_limits", limits)
-    key = F.lit(0).cast("bigint")
+    quantiles = [F.percentile_approx(n, range_steps(bits)).alias(c) for c, n in numbers.items()]
+    limits = df.agg(F.struct(*quantiles).alias("l")).scalar()
+    keyed, key = df, F.lit(0).cast("bigint")
     for place, (c, number) in enumerate(numbers.items()):
-        cell = _count_below(F.col("_limits")[c], number).cast("bigint")
+        cell = f"_cell{place}"
+        keyed = keyed.withColumn("_number", number)
+        keyed = with_range_number(keyed, F.col("_number"), limits[c], bits, cell)
         for bit in range(bits):
-            one = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            one = F.shiftright(F.col(cell).cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
             key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))
-    return limited.withColumn("_z", key).drop("_limits")
+    cells = [f"_cell{place}" for place in range(len(columns))]
+    return keyed.withColumn("_z", key).drop("_number", *cells)
 
 
 def compact_zorder(

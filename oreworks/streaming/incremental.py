@@ -20,7 +20,7 @@ from oreworks.sources.landing import narrow_longs, wide_longs
 
 def _batch_time(valid: DataFrame) -> datetime | None:
     """The latest extraction time in a batch: a property of the data, so a replay repeats it."""
-    text = valid.agg(F.max(utc_timestamp(F.col("extracted_at"))).alias("t"))
+    text = valid.agg(F.max(utc_timestamp("extracted_at")).alias("t"))
     return text.first()["t"]
 
 

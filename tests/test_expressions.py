@@ -85,7 +85,7 @@ def test_times_do_not_depend_on_session_zone(spark):
         None,
     ]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    assert values(df.select(utc_timestamp(F.col("t")).alias("x"))) == [
+    assert values(df.select(utc_timestamp("t").alias("x"))) == [
         datetime(2024, 3, 10, 2, 30),
         datetime(2024, 3, 10, 2, 30, 0, 250000),
         datetime(2024, 3, 9, 21, 0),
