@@ -105,7 +105,8 @@ def gold_extended(silver: DataFrame, metric_ts: datetime, run_id: str | None = N
     joined = _aggregate(silver, [CATEGORY], figures).join(
         movers, F.col(CATEGORY).eqNullSafe(F.col("_c")), "left"
     )
-    whole = silver.agg(exact_sum(F.col("market_cap")).cast("double").alias("t")).scalar()
+    # This window runs over the finished classes, not over the rows.
+    whole = F.expr("CAST(sum(total_market_cap) OVER () AS DOUBLE)")
     return joined.withColumns(
         {
             "category_dominance_pct": F.try_divide(F.col("total_market_cap").cast("double"), whole)

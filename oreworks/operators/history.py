@@ -88,11 +88,11 @@ def scd2_changes(
     label = "if(old IS NULL, 'new', 'version')"
     opens = version("new", at, at, "NULL", "true", label)
     return joined.selectExpr(
-        f"""inline(array_compact(array(
+        f"""inline(array(
             CASE WHEN old IS NOT NULL AND ({closes}) THEN {ended}
                  WHEN old IS NOT NULL THEN {carried} END,
-            CASE WHEN new IS NOT NULL AND (old IS NULL OR {changed}) THEN {opens} END)))"""
-    )
+            CASE WHEN new IS NOT NULL AND (old IS NULL OR {changed}) THEN {opens} END))"""
+    ).filter("change IS NOT NULL")
 
 
 def as_of_versions(versions: DataFrame, at: datetime) -> DataFrame:

@@ -17,6 +17,7 @@ from oreworks.sinks.files import child_names
 from oreworks.sinks.tables import drop_partition, replace_partitions, write_table
 
 SUMMARY_DAY = "summary_date"
+MAX_NAMED_PARTITIONS = 366
 
 
 def _has_rows(spark: SparkSession, path: str, partition: str) -> bool:
@@ -40,11 +41,23 @@ def upsert_gold(
     batch = latest_per_key(gold, key, newest)
     if not _has_rows(spark, path, partition_by):
         return replace_partitions(batch, path, partition_by)
-    days = batch.select(partition_by).distinct()
-    touched = spark.read.parquet(path).join(days, partition_by, "left_semi")
+    touched = _touched(spark.read.parquet(path), batch, partition_by)
     return replace_partitions(upsert(touched, batch, key, updated), path, partition_by)
 
 
+def _touched(table: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
+    """Rows of the partitions that occur in the batch.
+
+    A batch is about one or a few dates; those are named in the filter, so the other partitions
+    are not even listed for the scan. With very many dates a join selects the rows.
+    """
+    values = batch.select(partition_by).distinct()
+    few = [r[0] for r in values.limit(MAX_NAMED_PARTITIONS + 1).collect()]
+    if len(few) <= MAX_NAMED_PARTITIONS:
+        return table.filter(F.col(partition_by).isin(few))
+    return table.join(values, partition_by, "left_semi")
+
+
 def write_daily_summary(versions: DataFrame, path: str, created_at: datetime) -> int:
     summary = daily_market_summary(versions).withColumn("created_at", ts_literal(created_at))
     write_table(summary, path, "overwrite", [SUMMARY_DAY])

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.functions import ts_literal
 from oreworks.operators.skew import salted_join
-from oreworks.sinks.files import child_names, delete, exists, observed_counts
-from oreworks.sinks.tables import with_flag, write_table
+from oreworks.sinks.files import child_names, delete, exists
+from oreworks.sinks.tables import ONLY_OCCURRING, with_flag, write_table
 
 PARTITIONS = ("accepted", "ingest_date")
 
@@ -46,12 +46,9 @@ def as_bronze(raw: DataFrame, source_system: str) -> DataFrame:
 
 def land_payloads(bronze: DataFrame, path: str) -> dict[str, int]:
     """Append Bronze rows; returns accepted and rejected counts seen by the write itself."""
-    seen = Observation()
-    counted = bronze.observe(
-        seen, F.count_if(F.col("accepted")).alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected")
-    )
-    write_table(counted, path, "append", partition_by=PARTITIONS)
-    return observed_counts(seen, ("accepted", "rejected"))
+    accepted = F.col("accepted")
+    counts = {"accepted": F.count_if(accepted), "rejected": F.count_if(~accepted)}
+    return write_table(bronze, path, "append", PARTITIONS, counts=counts)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -92,16 +89,10 @@ def archive_bronze(
     """
     cutoff = as_of.date() - timedelta(days=days)
     old = spark.read.parquet(path).filter(F.col("ingest_date") < F.lit(cutoff))
-    seen = Observation()
-    copied = old.observe(seen, F.count(F.lit(1)).alias("rows"))
-    (
-        copied.hint("rebalance", *[F.col(c) for c in PARTITIONS])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(archive_path)
+    counts = {"rows": F.count(F.lit(1))}
+    copied = write_table(
+        old, archive_path, "overwrite", PARTITIONS, counts=counts, options=ONLY_OCCURRING
     )
-    moved = observed_counts(seen, ("rows",))["rows"]
     for group in child_names(spark, path):
         if not group.startswith("accepted="):
             continue
@@ -110,7 +101,7 @@ def archive_bronze(
             if name == "ingest_date" and date.fromisoformat(value) < cutoff:
                 if exists(spark, f"{archive_path}/{group}/{day}"):
                     delete(spark, f"{path}/{group}/{day}")
-    return moved
+    return copied["rows"]
 
 
 def extraction_stats(bronze: DataFrame) -> DataFrame:

@@ -86,15 +86,11 @@ def merge_batch(
         current, latest_per_key(batch, key), run_ts, key, tracked, close_missing
     )
     seen = Observation()
-    counted = changes.observe(
+    # The join left the rows in place by key; sorting needs no further shuffle.
+    counted = changes.sortWithinPartitions("is_current", *key, "valid_from").observe(
         seen, *[F.count_if(F.col("change") == c).alias(c) for c in CHANGES]
     )
-    (
-        counted.sortWithinPartitions("is_current", *key, "valid_from")
-        .write.mode("overwrite")
-        .partitionBy("is_current")
-        .parquet(f"{root}/run={label}")
-    )
+    counted.write.mode("overwrite").partitionBy("is_current").parquet(f"{root}/run={label}")
     return observed_counts(seen, CHANGES)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from oreworks.operators.ranges import range_steps, with_range_number
 from oreworks.sinks.files import delete, exists, observed_counts, shared_dir
 
+# An overwrite with this replaces only the partitions that occur in the written rows.
+ONLY_OCCURRING = {"partitionOverwriteMode": "dynamic"}
+
 
 def write_table(
     df: DataFrame,
@@ -18,17 +21,24 @@ def write_table(
     mode: str = "append",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-) -> None:
+    counts: Mapping[str, Column] | None = None,
+    options: Mapping[str, str] | None = None,
+) -> dict[str, int]:
     """Append to or overwrite a table. An overwrite may change the schema.
 
     Rows of one partition value are brought together, but a large value is split over several
-    tasks and small ones share a task (Spark's rebalance).
+    tasks and small ones share a task (Spark's rebalance). ``counts`` are taken by the tasks that
+    write, after the last shuffle, so a repeated task does not count twice.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    seen = Observation()
+    if counts:
+        df = df.observe(seen, *[e.alias(name) for name, e in counts.items()])
+    df.write.mode(mode).options(**(options or {})).partitionBy(*partition_by).parquet(path)
+    return observed_counts(seen, list(counts)) if counts else {}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -44,8 +54,9 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_flagged(flagged: DataFrame, path: str, mode: str = "overwrite") -> dict[str, int]:
     """Write valid and invalid rows in one job, apart by ``is_valid``, and return both counts."""
     seen = Observation()
+    valid = F.col("is_valid")
     counted = flagged.observe(
-        seen, F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("invalid")
+        seen, F.count_if(valid).alias("valid"), F.count_if(~valid).alias("invalid")
     )
     counted.write.mode(mode).partitionBy("is_valid").parquet(path)
     return observed_counts(seen, ("valid", "invalid"))
@@ -83,14 +94,8 @@ def replace_partitions(df: DataFrame, path: str, partition_by: str, stage: str =
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
     rows = observed_counts(seen, ("rows",))["rows"]
     if rows:
-        (
-            spark.read.parquet(staged)
-            .hint("rebalance", F.col(partition_by))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by)
-            .parquet(path)
-        )
+        staged_rows = spark.read.schema(df.schema).parquet(staged)
+        write_table(staged_rows, path, "overwrite", [partition_by], options=ONLY_OCCURRING)
     return rows
 
 
@@ -136,13 +141,22 @@ def with_z_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFram
 
 
 def compact_zorder(
-    df: DataFrame, path: str, columns: Sequence[str] = ("coin_id", "updated_at"), bits: int = 6
+    spark: SparkSession,
+    source: str,
+    target: str,
+    columns: Sequence[str] = ("coin_id", "updated_at"),
+    bits: int = 6,
 ) -> None:
     """Rewrite a table into few files, rows near each other in all ``columns`` together.
 
-    The range split goes by the key and then the columns themselves, so a crowded cell is still
-    divided over several files. The number of files follows the session's target partition size.
+    The range split goes by the key, the columns, and last the place of the row in its file, so
+    that even many equal rows are divided over several files, the same way in a repeated task.
+    The number of files follows the session's target partition size.
     """
+    rows = spark.read.parquet(source)
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
+    keyed = with_z_key(rows.select("*", place), columns, bits)
     order = ["_z", *columns]
-    ranged = with_z_key(df, columns, bits).repartitionByRange(*[F.col(c) for c in order])
-    ranged.sortWithinPartitions(*order).drop("_z").write.mode("overwrite").parquet(path)
+    ranged = keyed.repartitionByRange(*[F.col(c) for c in (*order, "_place")])
+    sorted_rows = ranged.sortWithinPartitions(*order).drop("_z", "_place")
+    sorted_rows.write.mode("overwrite").parquet(target)

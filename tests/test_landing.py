@@ -195,17 +195,20 @@ def test_compaction_keeps_rows_and_narrows_files(spark, folder):
         .alias("updated_at"),
         "id",
     )
-    rows = df.union(df.limit(1).select(F.lit(None), F.lit(None), F.lit(-1)))
+    # The last third are copies of one row.
+    copies = spark.range(10000).select(F.lit("hot"), F.lit(None), F.lit(-1))
+    rows = df.union(copies)
+    rows.write.parquet(f"{folder}/source")
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep all eight files
     try:
-        compact_zorder(rows, folder)
+        compact_zorder(spark, f"{folder}/source", f"{folder}/target")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
-    back = spark.read.parquet(folder)
-    assert back.count() == 20001 and back.exceptAll(rows).count() == 0
+    back = spark.read.parquet(f"{folder}/target")
+    assert back.count() == 30000 and back.exceptAll(rows).count() == 0
     sizes = back.groupBy(F.input_file_name()).count().collect()
-    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 20001 / 8 * 2
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 30000 / 8 * 2
 
 
 def test_run_log(spark, folder):
