@@ -13,7 +13,7 @@ from oreworks.operators import checks
 from oreworks.operators.validation import flag_payloads, flag_rows
 from oreworks.plans.adapters import AS_OF, market_snapshot, table
 from oreworks.schemas import TableContract
-from oreworks.sinks.files import shared_dir
+from oreworks.sinks.files import materialize, shared_dir
 from oreworks.sinks.tables import read_quarantine, read_valid, write_flagged
 
 EVENTS_AT = datetime(2024, 1, 31)
@@ -202,7 +202,8 @@ def _dq_uniqueness(spark, sf_dir):
 def _dq_uniqueness_nulls(spark, sf_dir):
     """Null counts as one value."""
     rules = FrameRules(unique=("id", "max_supply"))
-    return checks.quality_report(market_snapshot(spark, sf_dir, AS_OF), rules)
+    records = market_snapshot(spark, sf_dir, AS_OF).select("id", "max_supply")
+    return checks.quality_report(materialize(records, "records"), rules)
 
 
 def _range_line(column: str, test: str):

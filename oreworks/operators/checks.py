@@ -44,7 +44,7 @@ def _null_count(column: str) -> Column:
 
 
 def quality_report(df: DataFrame, rules: FrameRules, as_of: datetime | None = None) -> DataFrame:
-    """Completeness, range and freshness in one pass, plus uniqueness in a second."""
+    """Completeness, range and freshness in one pass; uniqueness reads its columns once more."""
     stats: dict[str, Column] = {"total": F.count("*")}
     lines: list[Column] = []
     for c in [c for c in rules.required if c in df.columns]:
@@ -83,55 +83,33 @@ def quality_report(df: DataFrame, rules: FrameRules, as_of: datetime | None = No
 def uniqueness_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Total, distinct and duplicate values per column; null counts as one value.
 
-    Values are counted per (column, value) before they meet, so a value that fills much of the
-    table is one row per task by then, and one scan serves all columns.
+    Each column is counted by value in its own type and reads nothing but itself. The counts
+    combine before the shuffle, so a value that fills much of the table is one row per task by
+    then. ``df`` is read once per column; pass a table, not a long derivation.
     """
-    pairs = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("v"))
-                    for c in columns
-                ]
-            )
-        )
-    )
-    counted = pairs.groupBy("column_name", "v").agg(F.count("*").alias("n"))
-    stats = counted.groupBy("column_name").agg(
-        F.sum("n").alias("total"), F.count("*").alias("distinct")
-    )
-    # An empty frame still reports every column, with zeros.
-    names = F.explode(F.array(*[F.lit(c) for c in columns]))
-    named = df.sparkSession.range(1).select(names.alias("column_name"))
-    full = named.join(stats, "column_name", "left").na.fill(0, ["total", "distinct"])
-    extra = F.col("total") - F.col("distinct")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit("uniqueness").alias("check"),
-                F.col("column_name"),
-                F.lit(metric).alias("metric"),
-                value.cast("double").alias("value"),
-                F.lit(threshold).cast("double").alias("threshold"),
-                (extra == 0).alias("passed"),
-            )
-            for metric, value, threshold in (
-                ("total", F.col("total"), None),
-                ("distinct", F.col("distinct"), None),
-                ("duplicates", extra, 0),
-            )
-        ]
+    parts = [_uniqueness_of(df, c) for c in columns]
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
+    return report
+
+
+def _uniqueness_of(df: DataFrame, column: str) -> DataFrame:
+    is_map = isinstance(df.schema[column].dataType, T.MapType)
+    value = F.map_entries(column) if is_map else F.col(column)  # maps cannot be grouped
+    counted = df.groupBy(value.alias("v")).agg(F.count("*").alias("n"))
+    stats = counted.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")
+    ).withColumn("extra", F.col("total") - F.col("distinct"))
+    ok = F.col("extra") == 0
+    return _report(
+        stats,
+        [
+            _line("uniqueness", column, "total", F.col("total"), None, ok),
+            _line("uniqueness", column, "distinct", F.col("distinct"), None, ok),
+            _line("uniqueness", column, "duplicates", F.col("extra"), 0, ok),
+        ],
     )
-    return full.select(F.inline(rows))
-
-
-def _as_text(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return (F.col(column) + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are one value
-    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(F.struct(column))
-    return F.col(column).cast("string")
 
 
 def fold_report(report: DataFrame) -> dict:

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from oreworks.config import TRACKED_COLUMNS
@@ -23,7 +24,12 @@ def latest_per_key(
     Each task drops all but its best row of a key before the shuffle, so a key that repeats
     through much of the batch costs nothing extra.
     """
-    rest = [c for c in batch.columns if c not in (*key, *newest)]
+    unordered = (T.MapType, T.VariantType)
+    rest = [
+        f.name
+        for f in batch.schema
+        if f.name not in (*key, *newest) and not isinstance(f.dataType, unordered)
+    ]
     order = [F.col(c).desc_nulls_last() for c in (*newest, *rest) if c in batch.columns]
     ranked = batch.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     return ranked.filter("_nth = 1").drop("_nth")

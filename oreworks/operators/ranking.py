@@ -32,7 +32,10 @@ def value_positions(
     descending: bool = False,
     ranges: int | None = None,
 ) -> DataFrame:
-    """One row per distinct non-null value (and group): ``n`` rows hold it, ``start`` precede it."""
+    """One row per distinct non-null value (and group): ``n`` rows hold it, ``start`` precede it.
+
+    ``value`` is a number, date or time.
+    """
     bits = max(1, ((ranges or _range_count(df)) - 1).bit_length())
     groups = list(groups)
     counts = (

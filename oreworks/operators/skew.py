@@ -43,7 +43,8 @@ def balanced_join(
     ``counts`` gives the rows per key as ``(*on, n)`` where the caller knows them; otherwise they
     are counted, which combines before the shuffle. Rows of heavy keys meet a broadcast of at most
     999 lookup rows and are not moved; the others are joined by key. Rows with a null key match
-    nothing unless ``null_safe``, and take no part in the shuffle either.
+    nothing unless ``null_safe``, and take no part in the shuffle either. ``rows`` is read more
+    than once, so pass a table, not a long derivation.
     ``how`` is one of inner, left, left_semi, left_anti.
     """
     on = list(on)

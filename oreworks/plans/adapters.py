@@ -131,8 +131,7 @@ def market_snapshot(
     if not ranked:
         return records
     written = materialize(records.drop("market_cap_rank"), "snapshot")
-    with_rank = global_rank(written, "market_cap", output="rank")
-    return with_rank.withColumn("market_cap_rank", F.col("rank").cast("int")).select(*fields)
+    return _with_cap_rank(written).select(*fields)
 
 
 def silver_snapshot(
@@ -153,14 +152,21 @@ def flagged_snapshot(
 
     ``columns`` narrows the written table to what the caller uses.
     """
-    silver = silver_snapshot(spark, sf_dir, as_of, ranked)
+    silver = silver_snapshot(spark, sf_dir, as_of)
     if columns is not None:
         silver = silver.select(*columns)
     written = materialize(silver, "silver")
     flagged = detect_anomalies(written, PRICE_THRESHOLD, group_limit=len(PART_CAPS.labels))
+    if ranked:
+        flagged = _with_cap_rank(flagged.drop("market_cap_rank"))
     return flagged.withColumn("is_current", F.lit(True))
 
 
+def _with_cap_rank(records: DataFrame) -> DataFrame:
+    ranked = global_rank(records, "market_cap", output="market_cap_rank")
+    return ranked.withColumn("market_cap_rank", F.col("market_cap_rank").cast("int"))
+
+
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw JSON text with run, extraction time and processed flag."""
     events = table(spark, sf_dir, "events")

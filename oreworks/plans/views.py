@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreworks.functions import days_between, exact_sum, percent_of, ts_literal
 from oreworks.operators.anomalies import anomalous_rows
 from oreworks.operators.ranking import exact_percentile, global_rank, share_of_total
+from oreworks.sinks.bronze_store import extraction_stats
 
 CHANGE = "price_change_percentage_24h"
 CATEGORY = "market_cap_category"
@@ -245,7 +246,11 @@ def category_comparison(gold: DataFrame, day: date) -> DataFrame:
 
 
 def register_views(
-    spark: SparkSession, versions: DataFrame, gold: DataFrame, runs: DataFrame, as_of: datetime
+    versions: DataFrame,
+    gold: DataFrame,
+    runs: DataFrame,
+    as_of: datetime,
+    bronze: DataFrame | None = None,
 ) -> None:
     """Make all views available to SQL users of the session."""
     views = {
@@ -259,5 +264,7 @@ def register_views(
         "v_pipeline_execution_history": run_history(runs),
         "v_market_summary": market_summary(gold),
     }
+    if bronze is not None:
+        views["v_bronze_extraction_stats"] = extraction_stats(bronze)
     for name, view in views.items():
         view.createOrReplaceTempView(name)

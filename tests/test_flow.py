@@ -77,7 +77,7 @@ def test_two_batches(spark, folder):
         ("20240101000000", "success"),
         ("20240102000000", "success"),
     ]
-    register_views(spark, read_versions(spark, layout.silver), gold, runs, datetime(2024, 1, 5))
+    register_views(read_versions(spark, layout.silver), gold, runs, datetime(2024, 1, 5))
     history = spark.sql("SELECT * FROM v_price_history WHERE coin_id = 'a'").collect()
     assert [(r.current_price, r.days_at_price) for r in history] == [(1.5, 3), (1.0, 1)]
     ranks = spark.sql("SELECT coin_id, dominance_rank FROM v_market_dominance").collect()
