@@ -43,10 +43,11 @@ def _part_records(spark, sf_dir):
 
 
 def _write_pages(spark, sf_dir, damage=False):
-    """One JSON array file per page of 100 records."""
+    """One JSON array file per page of 100 records, written by all tasks at once."""
     listed = F.array_join(F.collect_list("record"), ",\n")
     pages = (
         _part_records(spark, sf_dir)
+        .repartition(spark.sparkContext.defaultParallelism, "page")
         .groupBy("page")
         .agg(F.concat(F.lit("["), listed, F.lit("]")).alias("text"), F.sum("p_size").alias("size"))
     )
