@@ -257,23 +257,26 @@ def zscore_examples(
     """
     columns = _numeric_columns(df, columns)
     moments = _moments(df, columns)
-    picked = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    _is_outlier(c, moments, z_threshold),
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.col(c).cast("double").alias("anomaly_value"),
-                    ),
-                )
-                for c in columns
-            ]
-        )
+    outlier = {c: _is_outlier(c, moments, z_threshold) for c in columns}
+    any_outlier = F.lit(False)
+    for test in outlier.values():
+        any_outlier = any_outlier | test
+    picked = F.array(
+        *[
+            F.when(
+                test,
+                F.struct(
+                    F.lit(c).alias("column_name"), F.col(c).cast("double").alias("anomaly_value")
+                ),
+            )
+            for c, test in outlier.items()
+        ]
     )
     order = Window.partitionBy("column_name").orderBy(*order_by, "anomaly_value")
     return (
-        df.select(*order_by, F.inline(picked))
+        df.filter(any_outlier)
+        .select(*order_by, F.inline(picked))
+        .filter("column_name IS NOT NULL")
         .withColumn("position", F.row_number().over(order))
         .filter(F.col("position") <= first)
     )

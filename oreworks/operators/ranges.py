@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def range_steps(bits: int) -> list[float]:
-    """Fractions of the quantiles that cut the data into ``2 ** bits`` ranges."""
+def range_limits(number: Column, bits: int) -> Column:
+    """Aggregate: approximate quantiles that cut the values into ``2 ** bits`` ranges.
+
+    The error is a small part of a range. It makes ranges somewhat uneven, and nothing else.
+    """
     cells = 1 << bits
-    return [i / cells for i in range(1, cells)]
+    steps = [i / cells for i in range(1, cells)]
+    return F.percentile_approx(number, steps, accuracy=16 * cells)
 
 
 def with_range_number(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oreworks.operators.ranges import range_steps, with_range_number
+from oreworks.operators.ranges import range_limits, with_range_number
 from oreworks.operators.skew import attach_group_values, balanced_join
 
 # The limits of the ranges travel with the plan, so their number is bounded.
@@ -44,7 +44,7 @@ def value_positions(
         .agg(F.count("*").alias("n"))
         .filter("n > 0")
     )
-    limits = counts.agg(F.percentile_approx(value, range_steps(bits))).scalar()
+    limits = counts.agg(range_limits(F.col(value), bits)).scalar()
     ranged = with_range_number(counts, F.col(value), limits, bits, "_range")
     if descending:
         ranged = ranged.withColumn("_range", -F.col("_range"))

@@ -13,6 +13,8 @@ from oreworks.config import RowRules
 def row_errors(rules: RowRules) -> Column:
     """Array of error codes of a row, each code once, in rule order."""
     found: dict[str, Column] = {}
+    if not (rules.not_null or rules.numeric or rules.ranges or rules.non_negative):
+        return F.array().cast("array<string>")
     for c in rules.not_null:
         found[f"{c}_is_null"] = F.col(c).isNull()
     for c in rules.numeric:
@@ -21,9 +23,13 @@ def row_errors(rules: RowRules) -> Column:
         found[f"{c}_out_of_range"] = out_of_range(F.col(c).try_cast("double"), low, high)
     for c in rules.non_negative:
         found[f"{c}_negative"] = F.col(c).try_cast("double") < 0
-    if not found:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(test, code) for code, test in found.items()]))
+    return _codes(found)
+
+
+def _codes(tests: dict[str, Column]) -> Column:
+    """The codes whose test is met; taking nulls out this way stays in generated code."""
+    nothing = F.array(F.lit(None).cast("string"))
+    return F.array_except(F.array(*[F.when(t, code) for code, t in tests.items()]), nothing)
 
 
 def out_of_range(column: Column, low: float | None, high: float | None) -> Column:
@@ -54,10 +60,10 @@ def validate(df: DataFrame, rules: RowRules) -> tuple[DataFrame, DataFrame]:
 
 def flag_payloads(df: DataFrame, payload: str, required: Sequence[str]) -> DataFrame:
     """Flag semi-structured records that lack a required field (absent or JSON null)."""
-    missing = [
-        F.when(F.try_variant_get(F.col(payload), f"$.{f}", "string").isNull(), f"{f}_is_null")
+    missing = {
+        f"{f}_is_null": F.try_variant_get(F.col(payload), f"$.{f}", "string").isNull()
         for f in required
-    ]
-    return df.withColumn("validation_errors", F.array_compact(F.array(*missing))).withColumn(
+    }
+    return df.withColumn("validation_errors", _codes(missing)).withColumn(
         "is_valid", F.size("validation_errors") == 0
     )

@@ -25,22 +25,19 @@ def as_bronze(raw: DataFrame, source_system: str) -> DataFrame:
     The id is a digest of the content, so landing the same record again gives the same id. Text
     that is no JSON is kept as ``rejected_text`` and marked as not accepted.
     """
-    payload = F.try_parse_json("record")
-    accepted = payload.isNotNull()
-    return raw.select(
-        F.sha2(F.concat_ws("|", "run_id", F.col("extracted_at").cast("string"), "record"), 256)
-        .alias("id"),
-        payload.alias("payload"),
-        F.when(~accepted, F.col("record")).alias("rejected_text"),
+    parsed = raw.withColumn("payload", F.try_parse_json("record"))
+    given = set(raw.columns)
+    return parsed.selectExpr(
+        "sha2(concat_ws('|', run_id, CAST(extracted_at AS STRING), record), 256) AS id",
+        "payload",
+        "CASE WHEN payload IS NULL THEN record END AS rejected_text",
         "extracted_at",
         "run_id",
-        F.lit(source_system).alias("source_system"),
-        F.col("created_at") if "created_at" in raw.columns else F.col("extracted_at").alias(
-            "created_at"
-        ),
-        F.col("processed") if "processed" in raw.columns else F.lit(False).alias("processed"),
-        accepted.alias("accepted"),
-        F.col("extracted_at").cast("date").alias("ingest_date"),
+        f"'{source_system}' AS source_system",
+        "created_at" if "created_at" in given else "extracted_at AS created_at",
+        "processed" if "processed" in given else "false AS processed",
+        "payload IS NOT NULL AS accepted",
+        "CAST(extracted_at AS DATE) AS ingest_date",
     )
 
 

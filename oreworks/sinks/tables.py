@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreworks.operators.ranges import range_steps, with_range_number
+from oreworks.operators.ranges import range_limits, with_range_number
 from oreworks.sinks.files import delete, exists, observed_counts, shared_dir
 
 # An overwrite with this replaces only the partitions that occur in the written rows.
@@ -126,7 +126,7 @@ def with_z_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFram
     use all cells.
     """
     numbers = {c: _sortable_number(F.col(c), df.schema[c].dataType) for c in columns}
-    quantiles = [F.percentile_approx(n, range_steps(bits)).alias(c) for c, n in numbers.items()]
+    quantiles = [range_limits(n, bits).alias(c) for c, n in numbers.items()]
     limits = df.agg(F.struct(*quantiles).alias("l")).scalar()
     keyed, key = df, F.lit(0).cast("bigint")
     for place, (c, number) in enumerate(numbers.items()):
