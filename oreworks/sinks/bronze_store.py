@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from oreworks.functions import ts_literal
 from oreworks.operators.skew import salted_join
-from oreworks.sinks.files import child_names, delete, exists
-from oreworks.sinks.tables import ONLY_OCCURRING, with_flag, write_table
+from oreworks.sinks.files import child_names, move_files
+from oreworks.sinks.tables import with_flag, write_table
 
 PARTITIONS = ("accepted", "ingest_date")
 
@@ -64,7 +64,9 @@ def mark_processed(spark: SparkSession, ledger: str, run_id: str, at: datetime)
     row.write.mode("append").parquet(ledger)
 
 
-def unprocessed(bronze: DataFrame, done_runs: DataFrame | None, newest_first: bool = False):
+def unprocessed(
+    bronze: DataFrame, done_runs: DataFrame | None, newest_first: bool = False
+) -> DataFrame:
     """Rows neither flagged as processed nor part of a run in the ledger.
 
     A single run may be a large part of Bronze, so the join with the ledger is salted.
@@ -81,24 +83,20 @@ def archive_bronze(
 ) -> int:
     """Move the days older than ``days`` before ``as_of`` to the archive; returns rows moved.
 
-    Whole day partitions are copied in one dynamic overwrite, which a repeated run redoes without
-    duplicates, and removed from the table only after the copy is complete.
+    Only files are moved, within one file system. Rows that arrive late for a day that is in the
+    archive already join it with the next call.
     """
     cutoff = as_of.date() - timedelta(days=days)
     old = spark.read.parquet(path).filter(F.col("ingest_date") < F.lit(cutoff))
-    counts = {"rows": F.count(F.lit(1))}
-    copied = write_table(
-        old, archive_path, "overwrite", PARTITIONS, counts=counts, options=ONLY_OCCURRING
-    )
+    rows = old.count()  # from file footers
     for group in child_names(spark, path):
         if not group.startswith("accepted="):
             continue
         for day in child_names(spark, f"{path}/{group}"):
             name, _, value = day.partition("=")
             if name == "ingest_date" and date.fromisoformat(value) < cutoff:
-                if exists(spark, f"{archive_path}/{group}/{day}"):
-                    delete(spark, f"{path}/{group}/{day}")
-    return copied["rows"]
+                move_files(spark, f"{path}/{group}/{day}", f"{archive_path}/{group}/{day}")
+    return rows
 
 
 def extraction_stats(bronze: DataFrame) -> DataFrame:

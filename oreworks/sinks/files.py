@@ -67,6 +67,25 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> int:
+    """Move the files of a folder into another of the same file system; data is not rewritten.
+
+    Writers give every file a name of its own, so nothing is replaced, and a repeated call after a
+    failure moves what is left.
+    """
+    fs, folder = _path(spark, source)
+    _, destination = _path(spark, target)
+    fs.mkdirs(destination)
+    names = child_names(spark, source)
+    for name in names:
+        _, old = _path(spark, f"{source}/{name}")
+        _, new = _path(spark, f"{target}/{name}")
+        if not fs.rename(old, new):
+            raise OSError(f"could not move {source}/{name} to {target}")
+    fs.delete(folder, True)
+    return len(names)
+
+
 def observed_counts(seen: Observation, names: Sequence[str]) -> dict[str, int]:
     """Counts taken by a finished write. A write without any input task reports no row: zeros."""
     try:

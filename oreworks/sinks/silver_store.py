@@ -23,7 +23,7 @@ CHANGES = ("new", "version", "closed", "carried")
 
 
 class LateBatchError(ValueError):
-    """The batch is not newer than the last committed run."""
+    """The batch is older than the last committed run."""
 
 
 def run_label(run_ts: datetime, suffix: str = "") -> str:
@@ -76,10 +76,14 @@ def merge_batch(
     close_missing: bool = False,
     suffix: str = "",
 ) -> dict[str, int]:
-    """Merge a batch as one run and return the number of versions per kind of change."""
+    """Merge a batch as one run and return the number of versions per kind of change.
+
+    Runs come in the order of their time, and of their suffix where the time is the same (parts of
+    one extraction). The same time and suffix again replaces that run.
+    """
     label = run_label(run_ts, suffix)
     earlier = [r for r in committed_runs(spark, root) if r != label]
-    if earlier and earlier[-1].split("-")[0] >= run_label(run_ts):
+    if earlier and earlier[-1] > label:
         raise LateBatchError(f"run {label} is not later than {earlier[-1]}")
     current = read_current(spark, root, earlier[-1]) if earlier else None
     changes = scd2_changes(

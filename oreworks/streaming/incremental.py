@@ -37,7 +37,9 @@ def incremental_silver(
 ) -> None:
     """Process the files that arrived since the last call, then stop.
 
-    The checkpoint remembers the files. A micro-batch that is repeated after a failure carries the
+    The checkpoint remembers the files. A micro-batch is one batch: of several records of a key
+    the newest counts, so use ``max_files`` where every landed snapshot should leave a version. A
+    micro-batch that is repeated after a failure carries the
     same batch number and so replaces its own run of the Silver history. A batch older than the
     last run goes to ``<root>_late`` instead of rewriting the past.
     """

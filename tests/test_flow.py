@@ -127,3 +127,12 @@ def test_incremental_equals_batches_and_repeats_nothing(spark, folder):
     land(landing, "empty.json", records(DAY2, ("n", None, 1, 0.0)), lines=True)
     step()
     assert len(committed_runs(spark, root)) == 2
+
+
+def test_parts_of_one_extraction_arrive_one_by_one(spark, folder):
+    landing, root, checkpoint = (f"{folder}/{n}" for n in ("landing", "silver", "checkpoint"))
+    land(landing, "p1.json", records(DAY1, ("a", 1.0, 5, 0.0)), lines=True)
+    land(landing, "p2.json", records(DAY1, ("b", 2.0, 5, 0.0)), lines=True)
+    incremental_silver(spark, landing, root, checkpoint, RULES, 0.5, max_files=1)
+    assert len(committed_runs(spark, root)) == 2
+    assert sorted(r.coin_id for r in read_current(spark, root).collect()) == ["a", "b"]

@@ -137,6 +137,12 @@ def test_bronze_landing_ledger_archive(spark, folder):
     assert store.read_bronze(spark, archive).count() == 1
     assert store.archive_bronze(spark, path, archive, datetime(2024, 1, 3, 12), 90) == 0
     assert store.read_bronze(spark, archive).count() == 1
+    # A late row of an archived day joins the others there.
+    late = raw(spark).filter("run_id = 'r1' AND extracted_at < '2024-01-01'")
+    store.land_payloads(store.as_bronze(late, "feed"), path)
+    assert store.archive_bronze(spark, path, archive, datetime(2024, 1, 3, 12), 90) == 1
+    assert store.read_bronze(spark, archive).count() == 2
+    assert store.read_bronze(spark, path).count() == 2
 
 
 def test_bronze_reads_only_the_wanted_days(spark, folder):
