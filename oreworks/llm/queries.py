@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import bpe, fmindex, shards, simhash, toxicity, vectors, warc
+from oreworks.llm import bpe, fmindex, hosts, passages, roles, shards, simhash, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,6 +104,24 @@ def op2_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op3_role_repair")
+def op3_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn after the cheapest repair of its conversation, and what it renders to."""
+    found = roles.repair_roles(_table(spark, sf_dir, "conversations"))
+    return found.select(
+        F.col("conv").alias("conv_id"), "nth", "turn", "action", "new_role",
+        F.array_join("inserted_before", ",").alias("inserted_before"),
+        F.array_join("inserted_after", ",").alias("inserted_after"), "cost", "piece",
+    )
+
+
+@_query("op4_host_segmentation")
+def op4_host_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's URL."""
+    found = hosts.judged(_table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "score")
+
+
 @_query("op5_simhash_pigeonring")
 def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near copies of every document."""
@@ -115,6 +133,21 @@ def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op6_compact_windows")
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document has alike."""
+    found = passages.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "start",
+        "end",
+        F.col("source").alias("source_id"),
+        "source_start",
+        "source_end",
+        F.round("similarity", 6).alias("similarity"),
+    )
+
+
 @_query("op7_prefix_trie_bpe")
 def op7_prefix_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the text they decode to."""
