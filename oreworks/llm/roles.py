@@ -16,6 +16,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,9 +102,12 @@ def best_states(matrices: list[np.ndarray]) -> list[int]:
     return states
 
 
-def repair(roles: list[int], start: int, end: int) -> list[tuple[str, int, tuple[int, ...]]]:
-    """The cheapest path through the turns between two states: action, role, roles inserted before."""
-    ahead = [[0 if s == end else _FAR for s in range(4)]]
+def repair(roles: list[int], start: int = START, end: int | None = None) -> list[tuple[str, int, tuple[int, ...]]]:
+    """The cheapest path through the turns: action, role and roles inserted before each.
+
+    It leads to the state ``end``; without one, to the end of the conversation.
+    """
+    ahead = [[_closing(s)[0] if end is None else 0 if s == end else _FAR for s in range(4)]]
     for role in reversed(roles):
         after = ahead[-1]
         ahead.append([min((cost + after[to] for to, cost, *_ in ways), default=_FAR) for ways in moves(role)])
@@ -133,7 +137,7 @@ def rendered_turn(action: str, role: int, inserted: tuple[int, ...], text: str,
 
 def _segment_costs(turns: pd.DataFrame) -> pd.DataFrame:
     table = costs_of(role_numbers(turns.sort_values("nth")["role"]))
-    return pd.DataFrame({"conv": [turns["conv"].iat[0]], "segment": [turns["segment"].iat[0]], "costs": [table.ravel().tolist()]})
+    return turns[["conv", "segment"]].head(1).assign(costs=[table.ravel().tolist()])
 
 
 def _segment_states(segments: pd.DataFrame) -> pd.DataFrame:
@@ -144,25 +148,54 @@ def _segment_states(segments: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _segment_turns(turns: pd.DataFrame) -> pd.DataFrame:
-    turns = turns.sort_values("nth").reset_index(drop=True)
-    head = turns.iloc[0]
-    steps = repair(role_numbers(turns["role"]), int(head["before"]), int(head["after"]))
+_OUT = (
+    "conv bigint, nth bigint, turn bigint, action string, new_role string, inserted_before array<string>, "
+    "inserted_after array<string>, cost bigint, piece string"
+)
+_NAMES = lambda roles: [ROLES[r - 1] for r in roles]
+
+
+def repaired_turns(turns: list[dict]) -> list[tuple]:
+    """Rows of the result for the turns of one segment, in their order."""
+    head = turns[0]
+    # Without states of its own a segment is a whole conversation.
+    whole = head["before"] is None
+    last = whole or head["last"]
+    roles = role_numbers(t["role"] for t in turns)
+    steps = repair(roles) if whole else repair(roles, head["before"], head["after"])
     rows = []
-    for i, (action, role, inserted) in enumerate(steps):
-        text = turns["text"].iat[i]
-        first = int(head["segment"]) == 0 and i == 0
-        piece = rendered_turn(action, role, inserted, text if isinstance(text, str) else "", first)
+    for i, (turn, (action, role, inserted)) in enumerate(zip(turns, steps, strict=True)):
+        piece = rendered_turn(action, role, inserted, turn["text"] or "", turn["nth"] == 0)
         own = {"keep": 0, "merge": MERGE, "relabel": RELABEL}[action] + INSERT * len(inserted)
-        if head["last"] and i == len(steps) - 1:
-            cost, closing = _closing(int(head["after"]))
+        closing: tuple[int, ...] = ()
+        if last and i == len(steps) - 1:
+            cost, closing = _closing(role)
             own += cost
-            piece += "".join(f"<|im_end|>\n<|im_start|>{ROLES[r - 1]}\n" for r in closing) + "<|im_end|>\n"
-            inserted_after = [ROLES[r - 1] for r in closing]
-        else:
-            inserted_after = []
-        rows.append((turns["conv"].iat[i], turns["nth"].iat[i], turns["turn"].iat[i], action, ROLES[role - 1], [ROLES[r - 1] for r in inserted], inserted_after, own, piece))
-    return pd.DataFrame(rows, columns=["conv", "nth", "turn", "action", "new_role", "inserted_before", "inserted_after", "cost", "piece"])
+            piece += "".join(f"<|im_end|>\n<|im_start|>{r}\n" for r in _NAMES(closing)) + "<|im_end|>\n"
+        rows.append((turn["conv"], turn["nth"], turn["turn"], action, ROLES[role - 1], _NAMES(inserted), _NAMES(closing), own, piece))
+    return rows
+
+
+def _repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments in rows sorted by conversation, segment and turn."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.int64(), pa.string()]
+    names = [c.split()[0] for c in _OUT.split(", ")]
+    held: list[dict] = []
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    for batch in batches:
+        rows: list[tuple] = []
+        for turn in batch.to_pylist():
+            if held and (turn["conv"], turn["segment"]) != (held[0]["conv"], held[0]["segment"]):
+                rows += repaired_turns(held)
+                held = []
+            held.append(turn)
+        yield out(rows)
+    if held:
+        yield out(repaired_turns(held))
 
 
 def repair_roles(
@@ -205,19 +238,19 @@ def repair_roles(
     nth = F.col("row") - F.col("first") + F.col("start")
     numbered = ranged.join(parts, met).select("conv", "turn", "role", "text", nth.alias("nth"))
     numbered = materialize(numbered.withColumn("segment", F.expr(f"nth DIV {segment_turns}")), "numbered-turns")
-    costs = numbered.select("conv", "segment", "nth", "role").groupBy("conv", "segment")
+    # Only conversations of several segments need states at the cuts.
+    long = numbered.filter("segment > 0").select(F.col("conv").alias("_c")).distinct()
+    cut = numbered.join(long, F.col("conv").eqNullSafe(F.col("_c")), "left_semi")
+    costs = cut.select("conv", "segment", "nth", "role").groupBy("conv", "segment")
     costs = costs.applyInPandas(_segment_costs, "conv bigint, segment bigint, costs array<bigint>")
     states = costs.groupBy("conv").applyInPandas(
         _segment_states, "conv bigint, segment bigint, before int, after int, last boolean"
     )
     states = states.withColumnsRenamed({"conv": "_c", "segment": "_s"})
     same = F.col("conv").eqNullSafe(F.col("_c")) & (F.col("segment") == F.col("_s"))
-    whole = numbered.join(states, same).drop("_c", "_s")
-    return whole.groupBy("conv", "segment").applyInPandas(
-        _segment_turns,
-        "conv bigint, nth bigint, turn bigint, action string, new_role string, inserted_before array<string>, "
-        "inserted_after array<string>, cost bigint, piece string",
-    )
+    whole = numbered.join(states, same, "left").drop("_c", "_s")
+    dealt = whole.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "nth")
+    return dealt.mapInArrow(_repaired, _OUT)
 
 
 def rendered(pieces: DataFrame, conv: int) -> Iterator[str]:
