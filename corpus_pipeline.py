@@ -38,14 +38,9 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and digests of them and of the text they decode to."""
-    found = bpe.encode_texts(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
-    return found.select(
-        F.col("row.doc_id").alias("doc_id"),
-        F.expr("length(ids) DIV 4").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        "ids",
-    )
+    path = public_tokenizers.path(TOKENIZER)
+    found = bpe.encode_digests(docs.select("doc_id", "text"), path, with_ids=True)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 
 STAGES = [

@@ -20,13 +20,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from oreworks.llm.shared import as_bytes, slices
+from oreworks.llm.shared import row_schema, text_slices, whole_row
 
-#: Words whose encoding a task keeps, and bytes of text that it splits at a time.
-KEPT_WORDS = 400_000
-SLICE_BYTES = 2 << 20
+#: Words and pairs of tokens whose encoding a task keeps.
+KEPT_WORDS, KEPT_PAIRS = 100_000, 200_000
 
 # The pattern that splits text before the merges, in full and for texts of ASCII and
 # Latin letters only, where Python's own regular expressions give the same words.
@@ -200,6 +198,8 @@ class PrefixEncoder:
         wanted = set().union(*split) if split else set()
         if len(self.known) > self.kept:
             self.known = {w: self.known[w] for w in wanted if w in self.known}
+        if len(self.vocabulary.known_stable) > KEPT_PAIRS:
+            self.vocabulary.known_stable.clear()
         self.learn(w for w in wanted if w not in self.known and w not in marked)
         get = {**self.known, **marked}.__getitem__ if wanted & marked.keys() else self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
@@ -210,37 +210,23 @@ class PrefixEncoder:
         return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, PrefixEncoder] = {}
-
-
-def encoder(spec: str) -> PrefixEncoder:
-    """The encoder of a vocabulary file's text, once per worker process."""
-    key = hashlib.sha256(spec.encode()).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS[key] = PrefixEncoder(Vocabulary(json.loads(spec)))
-    return _ENCODERS[key]
-
-
 def _mapped(docs: DataFrame, path: str, text_col: str, columns: dict[str, pa.DataType], make: Callable) -> DataFrame:
     """``row`` and what ``make`` gives for each text. The vocabulary file is read by the driver only."""
     with open(path, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(spec.value)
+        own = PrefixEncoder(Vocabulary(json.loads(spec.value)))
         for batch in batches:
-            raw = as_bytes(batch.column("text"))
-            for a, b in slices(raw, SLICE_BYTES):
-                ids = own.encode([t.decode() for t in raw[a:b]])
+            for part, raw in text_slices(batch, text_col):
+                ids = own.encode([t.decode() for t in raw])
                 made = [make(own, i) for i in ids]
                 arrays = [pa.array([m[k] for m in made], kind) for k, kind in enumerate(columns.values())]
-                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column("row"), *arrays], ["row", *columns])
 
     kinds = {pa.binary(): "binary", pa.string(): "string", pa.int64(): "bigint"}
     schema = ", ".join(f"{name} {kinds[kind]}" for name, kind in columns.items())
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"row {docs.schema.simpleString()}, {schema}")
+    return docs.select(whole_row(docs)).mapInArrow(run, row_schema(docs, schema))
 
 
 def encode_texts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -254,12 +240,17 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text") -> DataFram
     return _mapped(docs, path, text_col, columns, lambda own, ids: (ids, own.decode(ids)))
 
 
-def encode_digests(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``row``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of what ``encode_texts`` gives."""
+def encode_digests(docs: DataFrame, path: str, text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """``row``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if wanted, ``ids`` of every row.
+
+    The digests are those of what ``encode_texts`` gives; decoded texts don't leave the task.
+    """
 
-    def digests(own: PrefixEncoder, ids: bytes) -> tuple[int, str, str]:
+    def digests(own: PrefixEncoder, ids: bytes) -> tuple[int, str, str, bytes]:
         decoded = own.decode(ids).encode()
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest(), ids
 
     columns = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    if with_ids:
+        columns["ids"] = pa.binary()
     return _mapped(docs, path, text_col, columns, digests)

@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.shared import as_bytes
+from oreworks.llm.shared import row_schema, text_slices, whole_row, with_text
 
 PHRASE_WORDS = 10
 #: Words of documents per index, and every how many positions a suffix is sampled.
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 500_000
 SAMPLE_STEP = 16
 #: Bytes of benchmark texts sent to the tasks at once; more are searched in several passes.
 BLOCK_BYTES = 16 << 20
@@ -236,15 +236,14 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int)
     return [benchmark.filter(part == i).select(F.col(id_col).cast("string"), text_col) for i in range(n)]
 
 
-_FOUND = "n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
+_FOUND = "n_words: bigint, spans: array<struct<start:int,end:int>>, items: array<string>"
 
 
-def _searched(phrases, shard_words: int):
+def _searched(phrases, text_col: str, shard_words: int):
     """Add what one block of phrases finds to what earlier blocks found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
             n_words: list[int] = []
             spans: list[list[tuple[int, int]]] = []
             items: list[set[str]] = []
@@ -257,14 +256,15 @@ def _searched(phrases, shard_words: int):
                 items.extend(named)  # noqa: B023
                 shard.clear()  # noqa: B023
 
-            for text in texts:
-                words = words_of(text)
-                n_words.append(len(words))
-                if held and held + len(words) > shard_words:
-                    search()
-                    held = 0
-                shard.append(words)
-                held += len(words)
+            for _, texts in text_slices(batch, text_col):
+                for text in texts:
+                    words = words_of(text)
+                    n_words.append(len(words))
+                    if held and held + len(words) > shard_words:
+                        search()
+                        held = 0
+                    shard.append(words)
+                    held += len(words)
             search()
             if "found" in batch.schema.names:
                 earlier = batch.column("found").to_pylist()
@@ -281,9 +281,7 @@ def _searched(phrases, shard_words: int):
                 ],
                 ["n_words", "spans", "items"],
             )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("text"), found], ["row", "text", "found"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("row"), found], ["row", "found"])
 
     return run
 
@@ -298,7 +296,7 @@ def find_benchmark(
     shard_words: int = SHARD_WORDS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``row`` (the input's columns), ``text`` and ``found`` for every document.
+    """``row`` (the input's columns) and ``found`` for every document.
 
     ``found`` has the number of words, the merged spans of words (start, end) inside any occurrence
     of a window of ``size`` consecutive benchmark words, and the items with such windows, sorted as
@@ -308,22 +306,16 @@ def find_benchmark(
     tasks in blocks of bounded size, one pass over a task's rows for each.
     """
     spark = docs.sparkSession
-    out = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
-    row = docs.schema.simpleString()
+    out = docs.select(whole_row(docs))
     for block in _blocks(benchmark, item_col, item_text, block_bytes):
         known = [(name or "", (text or "").encode()) for name, text in block.toLocalIterator()]
         phrases = spark.sparkContext.broadcast(Phrases.of(known, size))
         out = out.mapInArrow(
-            _searched(phrases, shard_words), f"row {row}, text string, found struct<{_typed(_FOUND)}>"
+            _searched(phrases, text_col, shard_words), row_schema(docs, f"found struct<{_FOUND}>")
         )
     return out
 
 
-def _typed(columns: str) -> str:
-    """``name type`` pairs as the fields of a struct."""
-    return columns.replace("n_words ", "n_words:").replace(" spans ", "spans:").replace(" items ", "items:").replace(", ", ",")
-
-
 def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of the spans and what stands between them."""
     if not spans:
@@ -336,15 +328,16 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        given = batch.column("text").to_pylist()
-        found = batch.column("found").to_pylist()
-        texts = [
-            t if t is None or not f["spans"] else without_spans(t.encode(), [(s["start"], s["end"]) for s in f["spans"]]).decode()
-            for t, f in zip(given, found, strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+def _cut(text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, given in text_slices(batch, text_col):
+                spans = [[(s["start"], s["end"]) for s in f["spans"]] for f in part.column("found").to_pylist()]
+                texts = [without_spans(t, s).decode() for t, s in zip(given, spans, strict=True)]
+                null = part.column("row").field(text_col).is_null().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string(), mask=null)], ["row", "text"])
+
+    return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
@@ -352,11 +345,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Documents without a span stay as they are, and none goes. Columns and their order stay.
     """
-    cut = find_benchmark(docs, benchmark, text_col).mapInArrow(_cut, f"row {docs.schema.simpleString()}, text string")
-    changed = ~F.col("text").eqNullSafe(F.col(f"row.`{text_col}`"))
-    columns = []
-    for f in docs.schema:
-        old = F.col(f"row.`{f.name}`")
-        new = {text_col: F.col("text"), length_col: F.when(changed, F.char_length("text").cast(f.dataType)).otherwise(old)}
-        columns.append(new.get(f.name, old).alias(f.name))
-    return cut.select(*columns)
+    cut = find_benchmark(docs, benchmark, text_col).mapInArrow(_cut(text_col), row_schema(docs, "text string"))
+    return with_text(cut, docs, text_col, length_col)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreworks.llm.fmindex import words_of
-from oreworks.llm.shared import as_bytes, ascii_lower, slices
+from oreworks.llm.shared import ascii_lower, text_slices
 from oreworks.sinks.files import materialize
 
 #: Longest word of the unigram model in characters. Longer words of the text are not names.
@@ -63,10 +63,9 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = as_bytes(batch.column(0))
-        for a, b in slices(texts, 8 << 20):
+        for _, texts in text_slices(batch, "text"):
             counts: Counter[bytes] = Counter()
-            for t in texts[a:b]:
+            for t in texts:
                 counts.update(words_of(t))
             words = [(w.decode(), n) for w, n in counts.items() if len(w) <= 4 * LONGEST_WORD]
             words = [(w, n) for w, n in words if len(w) <= LONGEST_WORD]
@@ -77,7 +76,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
     """``(word, n)`` over whole texts: words as in the decontamination operator, counted by task first."""
-    counted = texts.select(F.col(text_col).cast("string")).mapInArrow(_counted, "word string, n bigint")
+    counted = texts.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counted, "word string, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from oreworks.llm.shared import row_schema, whole_row
 from oreworks.sinks.files import materialize, shared_dir
 
 SHARDS = 24
@@ -64,17 +65,16 @@ def shuffle_into_shards(
     is open which is where. Null ids and texts are values like any other; no row gives no row.
     """
     text = F.col(text_col).cast("string")
+    schema = row_schema(rows, "size bigint, hash bigint, bucket bigint, place bigint")
     named = rows.select(
-        F.struct("*").alias("row"),
+        whole_row(rows).cast(schema["row"].dataType).alias("row"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)).cast("bigint").alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col), text).alias("hash"),
     )
     total = rows.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     named = named.withColumn("bucket", F.pmod(F.col("hash"), F.lit(buckets)))
-    row_type = rows.schema.simpleString()
     dealt = named.repartition(buckets, "bucket").groupBy("bucket")
-    schema = f"row {row_type}, size bigint, hash bigint, bucket bigint, place bigint"
     path = path or shared_dir(rows.sparkSession, "shuffled")
     dealt.applyInArrow(_shuffled(seed), schema).drop("hash").write.parquet(path)
     written = rows.sparkSession.read.parquet(path)

@@ -6,13 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreworks.sinks.files import materialize
 
 #: Rows of a bucket that meet in one task; a larger bucket is compared block by block.
 BLOCK_ROWS = 2048
+#: Bytes of text that a task has as Python objects at a time.
+SLICE_BYTES = 2 << 20
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -21,16 +25,24 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(kind).to_pylist()]
 
 
-def slices(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of a batch with about ``limit`` bytes each; a longer text has its own."""
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Parts of a batch with about ``limit`` bytes of text each, and their texts in UTF-8.
+
+    ``column`` is a column of the batch, or else of its ``row``.
+
+    A longer text is a part of its own. A batch may hold thousands of texts; only those of one part
+    are Python objects at a time.
+    """
+    own = batch.column(column) if "row" not in batch.schema.names else batch.column("row").field(column)
+    sizes = pc.fill_null(pc.binary_length(own), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > limit:
-            yield start, i
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > limit:
+            yield batch.slice(start, i - start), as_bytes(own.slice(start, i - start))
             start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start), as_bytes(own.slice(start))
 
 
 def key_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
@@ -138,6 +150,32 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, out of the way of names that an operator adds."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias("row")
+
+
+def row_schema(df: DataFrame, more: str) -> T.StructType:
+    """``row`` with the columns of a frame, and further columns in DDL. Names may be any."""
+    own = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    return T.StructType([T.StructField("row", own), *T.StructType.fromDDL(more).fields])
+
+
+def with_text(rows: DataFrame, docs: DataFrame, text_col: str, length_col: str) -> DataFrame:
+    """The columns of ``docs`` out of ``row``, with a new ``text``; the length is set where it changed."""
+    columns = []
+    old_text = F.col("row")[text_col]
+    changed = ~F.col("text").eqNullSafe(old_text)
+    for f in docs.schema:
+        value = F.col("row")[f.name]
+        if f.name == text_col:
+            value = F.col("text")
+        elif f.name == length_col:
+            value = F.when(changed, F.char_length("text").cast(f.dataType)).otherwise(value)
+        columns.append(value.alias(f.name))
+    return rows.select(*columns)
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

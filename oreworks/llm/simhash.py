@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.shared import as_bytes, components, forest, in_blocks, key_runs
+from oreworks.llm.shared import components, forest, in_blocks, key_runs, text_slices, whole_row
 from oreworks.sinks.files import materialize
 
 SHINGLE_WORDS = 3
@@ -65,13 +65,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t) for t in as_bytes(batch.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"]
-            )
+            for part, texts in text_slices(batch, "text"):
+                found = np.array([fingerprint(t) for t in texts], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {kind}, fp bigint"
     )
 
@@ -175,7 +174,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Where the smallest id repeats, its first text in the order of the bytes stays. Rows without a
     near copy stay, and so do rows with a null id, which cannot be named as a copy.
     """
-    names = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    names = docs.select(whole_row(docs), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kept = near_copies(docs, id_col, text_col).filter("id = component").groupBy("id")
     kept = kept.agg(F.count("*").alias("n"))
     found = names.join(kept, "id")

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.shared import as_bytes
+from oreworks.llm.shared import row_schema, text_slices, whole_row
 
 WINDOW_WORDS = 24
 THRESHOLD = 0.7
@@ -186,13 +186,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         own = shared.value
         pair = own.compressors()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.array([features(t, *pair) for t in as_bytes(batch.column("text"))])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(own.score(x))], ["row", "score"])
+            for part, texts in text_slices(batch, text_col):
+                x = np.array([features(t, *pair) for t in texts])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(own.score(x))], ["row", "score"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"row {docs.schema.simpleString()}, score double")
+    return docs.select(whole_row(docs)).mapInArrow(run, row_schema(docs, "score double"))
 
 
 def rejected(threshold: float = THRESHOLD) -> Column:
