@@ -119,13 +119,13 @@ def _price_history(spark, sf_dir):
 
 def _last_two(spark, sf_dir):
     """The open versions of one day and the batch of the next."""
-    first, second = SNAPSHOT_DAYS[:2]
+    first, second = _TWO_DAYS
     before = scd2_changes(None, silver_snapshot(spark, sf_dir, first).select(*_NARROW), first)
     batch = silver_snapshot(spark, sf_dir, second).select(*_NARROW)
     return before.drop("change"), latest_per_key(batch, ["coin_id"]), second
 
 
-_TWO_DAYS = SNAPSHOT_DAYS[:2]
+_TWO_DAYS = (SNAPSHOT_DAYS[0], SNAPSHOT_DAYS[-1])
 _OPENED = f"WHERE valid_from = TIMESTAMP '{_TWO_DAYS[1]}'"
 
 

@@ -32,7 +32,7 @@ def _zorder_compact(spark, sf_dir):
        FROM orders WHERE o_orderstatus = 'F'
        UNION ALL
        SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus
-       FROM orders WHERE o_orderstatus = 'O'""",
+       FROM orders WHERE o_orderstatus <> 'F'""",
 )
 def _table_write_modes(spark, sf_dir):
     """Overwrite replaces rows and schema, append adds rows and may add a column."""
@@ -47,7 +47,7 @@ def _table_write_modes(spark, sf_dir):
         partition_by=["o_orderstatus"],
         sort_by=["o_orderkey"],
     )
-    second = orders.filter("o_orderstatus = 'O'")
+    second = orders.filter("o_orderstatus <> 'F'")
     write_table(
         second.select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus"),
         path,

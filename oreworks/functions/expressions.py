@@ -18,15 +18,16 @@ def ts_literal(ts: datetime) -> Column:
 def utc_timestamp_sql(column: str) -> str:
     """SQL that parses ISO text to a UTC wall-clock time; bad text gives null.
 
-    A trailing ``Z`` or no zone means UTC; a numeric offset is taken off. The session time zone
+    A trailing ``Z`` or no zone means UTC; a numeric offset is taken off, after a ``T`` or a blank,
+    with or without minutes. The session time zone
     plays no part, so the same file gives the same Silver rows on every cluster.
     """
-    offset = r"T.*([+-])(\d{2}):?(\d{2})$"
+    offset = r"^(.*[T ]\d{1,2}:\d{2}.*?) ?([+-])(\d{2})(?::?(\d{2}))?$"
     wall = f"try_cast({column} AS TIMESTAMP_NTZ)"
     part = lambda i: f"regexp_extract({column}, r'{offset}', {i})"
-    minutes = f"try_cast({part(2)} AS INT) * 60 + try_cast({part(3)} AS INT)"
-    signed = f"if({part(1)} = '-', -1, 1) * ({minutes})"
-    shifted = f"{wall} - make_dt_interval(0, 0, {signed})"
+    minutes = f"try_cast({part(3)} AS INT) * 60 + coalesce(try_cast({part(4)} AS INT), 0)"
+    signed = f"if({part(2)} = '-', -1, 1) * ({minutes})"
+    shifted = f"try_cast({part(1)} AS TIMESTAMP_NTZ) - make_dt_interval(0, 0, {signed})"
     return f"CASE WHEN {column} RLIKE r'{offset}' THEN {shifted} ELSE {wall} END"
 
 

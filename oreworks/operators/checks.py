@@ -205,6 +205,12 @@ def _numeric_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in fields and isinstance(fields[c], numeric)]
 
 
+def _without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NaN is no value: it takes no part in the moments and is no outlier."""
+    floats = [c for c in columns if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def _moments(df: DataFrame, columns: Sequence[str]) -> Column:
     """Mean and sample deviation of every column, as one struct from one aggregate pass."""
     stats = [F.count("*").alias("total")]
@@ -225,6 +231,7 @@ def zscore_report(
 ) -> DataFrame:
     """Outliers per numeric column by z-score; constant and non-numeric columns are left out."""
     columns = _numeric_columns(df, columns)
+    df = _without_nan(df, columns)
     moments = _moments(df, columns)
     counts = df.agg(
         *[F.count_if(_is_outlier(c, moments, z_threshold)).alias(f"n_{c}") for c in columns]
@@ -256,6 +263,7 @@ def zscore_examples(
     Each task keeps at most ``first`` rows per column before the shuffle.
     """
     columns = _numeric_columns(df, columns)
+    df = _without_nan(df, columns)
     moments = _moments(df, columns)
     outlier = {c: _is_outlier(c, moments, z_threshold) for c in columns}
     any_outlier = F.lit(False)

@@ -96,15 +96,10 @@ def gold_extended(silver: DataFrame, metric_ts: datetime, run_id: str | None = N
         "num_volume_spikes": F.count_if("is_volume_spike"),
     }
     # The larger change wins, and of equal changes the larger id; losers likewise downwards.
-    entry = F.struct(change.alias("pct"), F.col("coin_id"), F.col("symbol"))
-    movers = silver.filter(change.isNotNull()).groupBy(F.col(CATEGORY).alias("_c")).agg(
-        F.max(entry).alias("up"), F.min(entry).alias("down")
-    )
+    entry = F.when(change.isNotNull(), F.struct(change.alias("pct"), "coin_id", "symbol"))
+    figures |= {"up": F.max(entry), "down": F.min(entry)}
     stamp = ts_literal(metric_ts)
-    # Both sides hold one row per class.
-    joined = _aggregate(silver, [CATEGORY], figures).join(
-        movers, F.col(CATEGORY).eqNullSafe(F.col("_c")), "left"
-    )
+    joined = _aggregate(silver, [CATEGORY], figures)
     # This window runs over the finished classes, not over the rows.
     whole = F.expr("CAST(sum(total_market_cap) OVER () AS DOUBLE)")
     return joined.withColumns(

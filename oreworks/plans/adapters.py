@@ -23,8 +23,8 @@ PART_CAPS_INCLUSIVE = CapBuckets(
     inclusive=True,
 )
 PRICE_THRESHOLD = 0.5
-AS_OF = datetime(2001, 6, 30)
-SNAPSHOT_DAYS = (datetime(1995, 3, 31), datetime(1998, 6, 30), datetime(1998, 7, 31))
+AS_OF = datetime(2001, 11, 30)
+SNAPSHOT_DAYS = (datetime(1995, 3, 31), datetime(1998, 6, 30), datetime(2001, 11, 30))
 SNAPSHOT_SOURCE = "lineitem"
 RECENT_DAYS = 90
 

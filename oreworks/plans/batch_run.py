@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from oreworks.config import STRICT_CAPS, CapBuckets, RowRules
 from oreworks.operators.anomalies import detect_anomalies
@@ -15,7 +16,7 @@ from oreworks.operators.validation import flag_rows
 from oreworks.plans.gold_store import refresh_daily_summary, upsert_gold
 from oreworks.sinks.files import materialize
 from oreworks.sinks.run_log import log_run, run_record
-from oreworks.sinks.silver_store import merge_batch, read_current
+from oreworks.sinks.silver_store import CHANGES, merge_batch, read_current
 from oreworks.sinks.tables import read_quarantine, read_valid, write_flagged
 from oreworks.sources.landing import add_load_audit
 
@@ -53,14 +54,27 @@ def silver_batch(
     run_ts: datetime,
     price_threshold: float,
     buckets: CapBuckets = STRICT_CAPS,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Enrich and flag the valid rows of a validated table."""
-    silver = to_silver(read_valid(spark, validated_path), run_ts, buckets)
+    silver = to_silver(read_valid(spark, validated_path, schema), run_ts, buckets)
     # The spike limits need a second read, so the derived rows are written once.
     silver = materialize(silver, "silver-batch")
     return detect_anomalies(silver, price_threshold, group_limit=len(buckets.labels))
 
 
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
+def _record(spark, run_id, name, run_ts, status, counters, started, error="") -> DataFrame:
+    """The run with the time it took so far and the counters reached."""
+    ended = _now()
+    seconds = (ended - started).total_seconds()
+    times = {"execution_time": seconds, "started_at": started, "completed_at": ended}
+    return run_record(spark, run_id, name, run_ts, status, counters, error_message=error, **times)
+
+
 def run_batch(
     spark: SparkSession,
     records: DataFrame,
@@ -71,30 +85,36 @@ def run_batch(
     buckets: CapBuckets = STRICT_CAPS,
     name: str = "market_snapshot",
 ) -> dict[str, int]:
-    """Take Bronze records through all layers, and log the run, also when it fails."""
+    """Take Bronze records through all layers, and log the run, also when it fails.
+
+    A batch without a valid row is logged and changes nothing else.
+    """
+    started = _now()
     run_id = run_ts.strftime("%Y%m%d%H%M%S")
     counters: dict[str, int] = {}
     try:
         audited = add_load_audit(records, run_ts).drop("fraction_lost")
         validated = f"{layout.validated}/run_id={run_id}"
-        counts = write_flagged(flag_rows(audited, rules), validated)
-        batch = silver_batch(spark, validated, run_ts, price_threshold, buckets)
-        changes = merge_batch(spark, layout.silver, batch, run_ts)
-        current = read_current(spark, layout.silver)
-        gold_rows = upsert_gold(gold_extended(current, run_ts, run_id), layout.gold, updated=None)
-        refresh_daily_summary(current, layout.summary, run_ts.date(), run_ts)
+        flagged = flag_rows(audited, rules)
+        counts = write_flagged(flagged, validated)
         counters = {
             "records_extracted": counts["valid"] + counts["invalid"],
             "records_processed": counts["valid"],
-            "records_loaded": changes["new"] + changes["version"] + gold_rows,
             "records_failed": counts["invalid"],
         }
-        log_run(run_record(spark, run_id, name, run_ts, "success", counters), layout.runs)
+        if not counts["valid"]:
+            log_run(_record(spark, run_id, name, run_ts, "success", counters, started), layout.runs)
+            return counters | {"records_loaded": 0} | dict.fromkeys(CHANGES, 0)
+        batch = silver_batch(spark, validated, run_ts, price_threshold, buckets, flagged.schema)
+        changes = merge_batch(spark, layout.silver, batch, run_ts)
+        current = read_current(spark, layout.silver)
+        gold_rows = upsert_gold(gold_extended(current, run_ts, run_id), layout.gold, updated=None)
+        refresh_daily_summary(current, layout.summary, run_ts.date(), run_ts)
+        counters["records_loaded"] = changes["new"] + changes["version"] + gold_rows
+        log_run(_record(spark, run_id, name, run_ts, "success", counters, started), layout.runs)
         return counters | changes
     except Exception as error:
-        failed = run_record(
-            spark, run_id, name, run_ts, "failed", counters, error_message=str(error)[:5000]
-        )
+        failed = _record(spark, run_id, name, run_ts, "failed", counters, started, str(error))
         log_run(failed, layout.runs)
         raise
 

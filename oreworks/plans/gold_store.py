@@ -13,11 +13,10 @@ from oreworks.operators.history import latest_per_key
 from oreworks.operators.merge import upsert
 from oreworks.plans.views import daily_market_summary
 from oreworks.schemas import GOLD_CONTRACT, GOLD_UPDATED
-from oreworks.sinks.files import child_names
+from oreworks.sinks.files import child_names, materialize
 from oreworks.sinks.tables import drop_partition, replace_partitions, write_table
 
 SUMMARY_DAY = "summary_date"
-MAX_NAMED_PARTITIONS = 366
 
 
 def _has_rows(spark: SparkSession, path: str, partition: str) -> bool:
@@ -38,7 +37,7 @@ def upsert_gold(
 ) -> int:
     """Update rows with the same key, insert the others; only touched dates are rewritten."""
     spark = gold.sparkSession
-    batch = latest_per_key(gold, key, newest)
+    batch = materialize(latest_per_key(gold, key, newest), "gold-batch")
     if not _has_rows(spark, path, partition_by):
         return replace_partitions(batch, path, partition_by)
     touched = _touched(spark.read.parquet(path), batch, partition_by)
@@ -46,16 +45,8 @@ def upsert_gold(
 
 
 def _touched(table: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
-    """Rows of the partitions that occur in the batch.
-
-    A batch is about one or a few dates; those are named in the filter, so the other partitions
-    are not even listed for the scan. With very many dates a join selects the rows.
-    """
-    values = batch.select(partition_by).distinct()
-    few = [r[0] for r in values.limit(MAX_NAMED_PARTITIONS + 1).collect()]
-    if len(few) <= MAX_NAMED_PARTITIONS:
-        return table.filter(F.col(partition_by).isin(few))
-    return table.join(values, partition_by, "left_semi")
+    """Rows of the partitions that occur in the batch, a written table; Spark prunes the others."""
+    return table.join(batch.select(partition_by).distinct(), partition_by, "left_semi")
 
 
 def write_daily_summary(versions: DataFrame, path: str, created_at: datetime) -> int:

@@ -78,6 +78,10 @@ def unprocessed(
     return rows.orderBy(F.desc("created_at"), "id") if newest_first else rows
 
 
+# Fixed value: the folder of rows whose partition column is null.
+_NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def archive_bronze(
     spark: SparkSession, path: str, archive_path: str, as_of: datetime, days: int = 90
 ) -> int:
@@ -94,7 +98,9 @@ def archive_bronze(
             continue
         for day in child_names(spark, f"{path}/{group}"):
             name, _, value = day.partition("=")
-            if name == "ingest_date" and date.fromisoformat(value) < cutoff:
+            if name != "ingest_date" or value == _NULL_DAY:
+                continue  # rows without a day are never old
+            if date.fromisoformat(value) < cutoff:
                 move_files(spark, f"{path}/{group}/{day}", f"{archive_path}/{group}/{day}")
     return rows
 

@@ -15,7 +15,8 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="oreworks-")
         spark.conf.set(_CHECKPOINT_DIR, root)
@@ -67,6 +68,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark that readers of the folder don't list as data."""
+    fs, target = _path(spark, path)
+    fs.create(target, True).close()
+
+
 def move_files(spark: SparkSession, source: str, target: str) -> int:
     """Move the files of a folder into another of the same file system; data is not rewritten.
 

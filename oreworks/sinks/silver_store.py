@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from oreworks.config import TRACKED_COLUMNS
 from oreworks.operators.history import latest_per_key, scd2_changes
-from oreworks.sinks.files import child_names, delete, exists, observed_counts
+from oreworks.sinks.files import child_names, delete, exists, observed_counts, touch
 from oreworks.sinks.tables import with_flag
 
 CHANGES = ("new", "version", "closed", "carried")
@@ -26,6 +26,13 @@ class LateBatchError(ValueError):
     """The batch is older than the last committed run."""
 
 
+class FreedRunError(ValueError):
+    """The open versions of a run are needed that were freed."""
+
+
+_FREED = "_freed"
+
+
 def run_label(run_ts: datetime, suffix: str = "") -> str:
     label = run_ts.strftime("t%Y%m%dT%H%M%S%f")
     return f"{label}-{suffix}" if suffix else label
@@ -51,7 +58,10 @@ def read_current(spark: SparkSession, root: str, run: str | None = None) -> Data
     runs = committed_runs(spark, root)
     if not runs:
         return None
-    return _read(spark, root, [run or runs[-1]]).filter("is_current").drop("run", "change")
+    run = run or runs[-1]
+    if exists(spark, f"{root}/run={run}/{_FREED}"):
+        raise FreedRunError(f"the open versions of run {run} were freed; a later run has them")
+    return _read(spark, root, [run]).filter("is_current").drop("run", "change")
 
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
@@ -79,13 +89,21 @@ def merge_batch(
     """Merge a batch as one run and return the number of versions per kind of change.
 
     Runs come in the order of their time, and of their suffix where the time is the same (parts of
-    one extraction). The same time and suffix again replaces that run.
+    one extraction). The same time and suffix again replaces that run, unless the run before it was
+    freed (:func:`drop_superseded`), which raises. Rows with a null key part have no history: they
+    go to ``<root>_rejected/run=<label>``. A batch that leaves no version at all makes no run.
     """
     label = run_label(run_ts, suffix)
     earlier = [r for r in committed_runs(spark, root) if r != label]
     if earlier and earlier[-1] > label:
         raise LateBatchError(f"run {label} is not later than {earlier[-1]}")
     current = read_current(spark, root, earlier[-1]) if earlier else None
+    keyed = F.lit(True)
+    for k in key:
+        keyed = keyed & F.col(k).isNotNull()
+    if any(batch.schema[k].nullable for k in key):
+        batch.filter(~keyed).write.mode("overwrite").parquet(f"{root}_rejected/run={label}")
+        batch = batch.filter(keyed)
     changes = scd2_changes(
         current, latest_per_key(batch, key), run_ts, key, tracked, close_missing
     )
@@ -95,12 +113,17 @@ def merge_batch(
         seen, *[F.count_if(F.col("change") == c).alias(c) for c in CHANGES]
     )
     counted.write.mode("overwrite").partitionBy("is_current").parquet(f"{root}/run={label}")
-    return observed_counts(seen, CHANGES)
+    found = observed_counts(seen, CHANGES)
+    if not any(found.values()):
+        delete(spark, f"{root}/run={label}")  # a run without a file has no schema to read
+    return found
 
 
 def drop_superseded(spark: SparkSession, root: str, keep: int = 2) -> int:
     """Free the open slices of all but the last ``keep`` runs; the history stays complete."""
     freed = 0
     for run in committed_runs(spark, root)[:-keep]:
-        freed += delete(spark, f"{root}/run={run}/is_current=true")
+        if not exists(spark, f"{root}/run={run}/{_FREED}"):
+            touch(spark, f"{root}/run={run}/{_FREED}")
+            freed += delete(spark, f"{root}/run={run}/is_current=true")
     return freed

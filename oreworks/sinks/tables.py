@@ -67,8 +67,13 @@ def with_flag(df: DataFrame, flag: str) -> DataFrame:
     return df.withColumn(flag, F.col(flag) == "true")
 
 
-def read_valid(spark: SparkSession, path: str) -> DataFrame:
-    rows = with_flag(spark.read.parquet(path), "is_valid")
+def read_valid(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Valid rows of a flagged table. With its ``schema`` a table without any file can be read."""
+    reader = spark.read
+    if schema is not None:
+        kinds = [T.StructField(f.name, T.StringType()) if f.name == "is_valid" else f for f in schema]
+        reader = reader.schema(T.StructType(kinds))
+    rows = with_flag(reader.parquet(path), "is_valid")
     return rows.filter("is_valid").drop("is_valid", "validation_errors")
 
 
@@ -125,6 +130,8 @@ def with_z_key(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFram
     Ranges follow the data (approximate quantiles from one aggregate), so skewed columns still
     use all cells.
     """
+    if bits * len(columns) > 63:
+        raise ValueError(f"{bits} bits of {len(columns)} columns don't fit into a key of 63 bits")
     numbers = {c: _sortable_number(F.col(c), df.schema[c].dataType) for c in columns}
     quantiles = [range_limits(n, bits).alias(c) for c, n in numbers.items()]
     limits = df.agg(F.struct(*quantiles).alias("l")).scalar()

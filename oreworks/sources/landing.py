@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,14 +92,20 @@ def read_pages(
     at once is what makes a damaged page drop out as a whole, without a second read.
     """
     records = T.ArrayType(wide_longs(_without_tags(schema)))
-    pages = read_page_texts(spark, path).withColumn("_r", F.from_json("text", records))
+    complete = read_page_texts(spark, path).filter(_complete_array("text"))
+    pages = complete.withColumn("_r", F.from_json("text", records))
     return narrow_longs(pages.select("extraction_page", F.inline("_r")), _without_tags(schema))
 
 
 def failed_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Pages that are no complete JSON."""
+    """Pages that are no complete JSON array: cut ones, and error objects or scalars."""
     pages = read_page_texts(spark, path)
-    return pages.filter(F.try_parse_json("text").isNull()).drop("text")
+    return pages.filter(~_complete_array("text")).drop("text")
+
+
+def _complete_array(text: str) -> Column:
+    kind = F.schema_of_variant(F.try_parse_json(text))
+    return F.coalesce(kind.startswith("ARRAY"), F.lit(False))
 
 
 def _without_tags(schema: T.StructType) -> T.StructType:

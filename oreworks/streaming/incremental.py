@@ -34,6 +34,7 @@ def incremental_silver(
     buckets: CapBuckets = STRICT_CAPS,
     schema: T.StructType = BRONZE_SCHEMA,
     max_files: int | None = None,
+    multi_line: bool = False,
 ) -> None:
     """Process the files that arrived since the last call, then stop.
 
@@ -41,24 +42,26 @@ def incremental_silver(
     the newest counts, so use ``max_files`` where every landed snapshot should leave a version. A
     micro-batch that is repeated after a failure carries the
     same batch number and so replaces its own run of the Silver history. A batch older than the
-    last run goes to ``<root>_late`` instead of rewriting the past.
+    last run goes to ``<root>_late`` instead of rewriting the past. ``multi_line`` reads files that
+    hold one JSON array each instead of lines; empty files and files without a valid row make no run.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         run = f"b{batch_id:012d}"
         records = narrow_longs(batch, schema).drop("fraction_lost")
         validated = f"{root}_validated/run_id={run}"
-        write_flagged(flag_rows(records, rules), validated)
-        run_ts = _batch_time(read_valid(spark, validated))
+        flagged = flag_rows(records, rules)
+        write_flagged(flagged, validated)
+        run_ts = _batch_time(read_valid(spark, validated, flagged.schema))
         if run_ts is None:
-            return  # no valid row in these files; the rejected ones are kept above
-        silver = silver_batch(spark, validated, run_ts, price_threshold, buckets)
+            return  # no valid row with a time in these files; all rows are kept above
+        silver = silver_batch(spark, validated, run_ts, price_threshold, buckets, flagged.schema)
         try:
             merge_batch(spark, root, silver, run_ts, suffix=run)
         except LateBatchError:
             silver.write.mode("overwrite").parquet(f"{root}_late/run_id={run}")
 
-    reader = spark.readStream.schema(wide_longs(schema))
+    reader = spark.readStream.schema(wide_longs(schema)).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
