@@ -1,7 +1,7 @@
-"""Time the headline queries and print one JSON line.
+"""Time the registered queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the tables (default /root/testdata/sf0.1), ``BENCH_CPUS`` the local cores
-(default 8), ``BENCH_QUERIES`` optionally a comma-separated choice of queries or ``all``.
+(default 8), ``BENCH_QUERIES`` optionally a comma-separated choice of queries; without it all run.
 """
 
 from __future__ import annotations
@@ -16,57 +16,11 @@ from pyspark.sql import SparkSession
 from oreworks.catalog import QUERIES
 from oreworks.sinks.files import clear_scratch
 
-HEADLINE = (
-    "gold_by_category",
-    "gold_extended",
-    "gold_upsert",
-    "silver_project",
-    "silver_derive",
-    "basic_clean",
-    "dedup_rows",
-    "momentum",
-    "volume_spike",
-    "event_spikes",
-    "market_dominance",
-    "order_value_rank",
-    "volatility_analysis",
-    "top_movers",
-    "current_market_state",
-    "daily_market_summary",
-    "data_quality_metrics",
-    "scd2_merge",
-    "scd2_new_versions",
-    "price_history",
-    "batch_to_gold",
-    "incremental_silver",
-    "validate_rows",
-    "quarantine",
-    "dq_completeness",
-    "dq_uniqueness",
-    "dq_range",
-    "zscore_anomalies",
-    "zscore_examples",
-    "contract_pk",
-    "read_json_schema",
-    "paged_ingest",
-    "bronze_variant_append",
-    "bronze_unprocessed",
-    "mark_processed",
-    "archive_bronze",
-    "bronze_extraction_stats",
-    "json_path_project",
-    "select_by_ids",
-    "zorder_compact",
-    "table_write_modes",
-    "run_history",
-)
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES", "")
-    names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
+    names = [n for n in chosen.split(",") if n] or list(QUERIES)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("oreworks-bench")
