@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from oreworks.catalog import QUERIES
 from oreworks.sinks.files import clear_scratch
 
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
