@@ -379,6 +379,17 @@ def covered(found):
     return {(r.doc, i) for r in found for i in range(r.start, r.end)}
 
 
+def test_chains_go_on_past_any_number_of_others():
+    """A run finds its chain however many chains began in between, and none that is out of reach."""
+    runs = {(0, 30, 0), (33, 70, 0)} | {(31, 32, 1000 * k) for k in range(1, 50)}
+    chains = passages._chained(runs)
+    assert [(0, 30, 0), (33, 70, 0)] in chains
+    assert len(chains) == 50
+    far = 30 + passages.MAX_GAP + passages.SHINGLE_WORDS + 1
+    assert len(passages._chained({(0, 30, 0), (far, far + 9, 0)})) == 2
+    assert len(passages._chained({(0, 30, 0), (far - 1, far + 9, 0)})) == 1
+
+
 def test_repeated_passages(spark):
     docs = [(i, t) for i, t in corpus()]
     frame = documents(spark, [*docs, (None, docs[0][1])])
