@@ -25,6 +25,7 @@ from oreworks.plans.adapters import (
     table,
 )
 from oreworks.sinks.files import materialize
+from oreworks.sources.landing import register
 
 _CHANGE = "price_change_percentage_24h"
 _CORE_SQL = """
@@ -295,17 +296,35 @@ def _daily_market_summary(spark, sf_dir):
 @query(
     "data_quality_metrics",
     silver_sql(
-        """SELECT CAST(updated_at AS DATE) AS check_date, CAST(count(*) AS BIGINT) AS total_records,
+        f"""SELECT CAST(updated_at AS DATE) AS check_date, CAST(count(*) AS BIGINT) AS total_records,
           CAST(count(*) FILTER (current_price IS NULL) AS BIGINT) AS null_price_count,
           CAST(count(*) FILTER (market_cap IS NULL) AS BIGINT) AS null_market_cap_count,
           CAST(count(*) FILTER (current_price < 0) AS BIGINT) AS negative_price_count,
           CAST(count(*) FILTER (is_price_anomaly) AS BIGINT) AS anomaly_count,
           (1 - count(*) FILTER (current_price IS NULL) / CAST(count(*) AS DOUBLE)) * 100
-            AS price_completeness_pct
+            AS price_completeness_pct,
+          TIMESTAMP '{AS_OF}' AS checked_at
         FROM flagged GROUP BY 1"""
     ),
 )
 def _data_quality_metrics(spark, sf_dir):
     return views.data_quality_metrics(
-        _current(spark, sf_dir, "market_cap", "current_price", "updated_at")
+        _current(spark, sf_dir, "market_cap", "current_price", "updated_at"), AS_OF
     )
+
+
+@query(
+    "hand_off_view",
+    silver_sql(
+        """SELECT market_cap_category, CAST(count(*) AS BIGINT) AS num_coins,
+          CAST(sum(total_volume) AS BIGINT) AS total_volume
+        FROM silver GROUP BY 1"""
+    ),
+)
+def _hand_off_view(spark, sf_dir):
+    register(silver_snapshot(spark, sf_dir), "hand_off_silver")
+    handed = spark.sql(
+        "SELECT market_cap_category, count(*) AS num_coins, sum(total_volume) AS total_volume"
+        " FROM hand_off_silver GROUP BY market_cap_category"
+    )
+    return as_long(handed, "total_volume")

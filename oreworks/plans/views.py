@@ -178,7 +178,8 @@ def daily_market_summary(versions: DataFrame, day: date | None = None) -> DataFr
     )
 
 
-def data_quality_metrics(versions: DataFrame) -> DataFrame:
+def data_quality_metrics(versions: DataFrame, checked_at: datetime) -> DataFrame:
+    """Counts of doubtful current rows per day of last update, as seen at ``checked_at``."""
     price = F.col("current_price")
     nulls = F.count_if(price.isNull())
     return (
@@ -192,6 +193,7 @@ def data_quality_metrics(versions: DataFrame) -> DataFrame:
             F.count_if("is_price_anomaly").alias("anomaly_count"),
             ((1 - nulls / F.count("*")) * 100).alias("price_completeness_pct"),
         )
+        .withColumn("checked_at", ts_literal(checked_at))
     )
 
 
@@ -260,7 +262,7 @@ def register_views(
         "v_market_dominance": market_dominance(versions),
         "v_volatility_analysis": volatility_analysis(versions),
         "daily_market_summary": daily_market_summary(versions),
-        "v_data_quality_metrics": data_quality_metrics(versions),
+        "v_data_quality_metrics": data_quality_metrics(versions, as_of),
         "v_pipeline_execution_history": run_history(runs),
         "v_market_summary": market_summary(gold),
     }
