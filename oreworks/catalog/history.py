@@ -271,9 +271,34 @@ def _refresh_daily_summary(spark, sf_dir):
 )
 def _incremental_silver(spark, sf_dir):
     """Two landings; the stream is started after each and takes only the new files."""
+    return _streamed(spark, sf_dir, *[(day,) for day in _TWO_DAYS])
+
+
+@query(
+    "incremental_at_once",
+    versions_sql(f"SELECT {', '.join(_VERSION_COLUMNS)} FROM versions", *SNAPSHOT_DAYS),
+)
+def _incremental_at_once(spark, sf_dir):
+    """All snapshots wait in one micro-batch and still leave a version each."""
+    return _streamed(spark, sf_dir, SNAPSHOT_DAYS)
+
+
+@query(
+    "incremental_late",
+    versions_sql(f"SELECT {', '.join(_VERSION_COLUMNS)} FROM versions", *SNAPSHOT_DAYS),
+)
+def _incremental_late(spark, sf_dir):
+    """The middle snapshot lands after the last one and is merged at its place in time."""
+    first, late, last = SNAPSHOT_DAYS
+    return _streamed(spark, sf_dir, (first, last), (late,))
+
+
+def _streamed(spark, sf_dir, *landings):
+    """The history of the stream, started after each landing of some snapshots."""
     base = shared_dir(spark, "incremental")
-    for day in _TWO_DAYS:
-        write_json(market_snapshot(spark, sf_dir, day), f"{base}/landing", "append")
+    for days in landings:
+        for day in days:
+            write_json(market_snapshot(spark, sf_dir, day), f"{base}/landing", "append")
         incremental_silver(
             spark,
             f"{base}/landing",

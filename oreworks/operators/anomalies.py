@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ def flag_price_anomalies(
 
 def flag_volume_spikes(
     df: DataFrame,
-    group: str = "market_cap_category",
+    group: str | Sequence[str] = "market_cap_category",
     value: str = "total_volume",
     width: float = SPIKE_STDDEVS,
     group_limit: int | None = None,
@@ -34,27 +36,30 @@ def flag_volume_spikes(
     row of a group into one task. ``df`` is read again for the join, so pass a written table.
     Without a limit of the number of groups, their figures are written before they are joined.
     """
-    stats = df.groupBy(group).agg(
-        (F.avg(value) + F.lit(width) * F.stddev_samp(value)).alias("_spike_above"),
-        F.count("*").alias("_group_size"),
+    group = [group] if isinstance(group, str) else list(group)
+    stats = df.groupBy(*group).agg(
+        (F.avg(value) + F.lit(width) * F.stddev_samp(value)).alias("_spike_above")
     )
     if group_limit is None:
         stats = materialize(stats, "group-stats")
     return (
-        attach_group_values(df, stats, [group], group_limit, size="_group_size")
+        attach_group_values(df, stats, group, group_limit)
         .withColumn(
             "is_volume_spike", F.coalesce(F.col(value) > F.col("_spike_above"), F.lit(False))
         )
-        .drop("_spike_above", "_group_size")
+        .drop("_spike_above")
     )
 
 
 def detect_anomalies(
-    df: DataFrame, price_threshold: float, group_limit: int | None = None
+    df: DataFrame,
+    price_threshold: float,
+    group_limit: int | None = None,
+    group: str | Sequence[str] = "market_cap_category",
 ) -> DataFrame:
     """Both flags."""
     flagged = flag_price_anomalies(df, price_threshold)
-    return flag_volume_spikes(flagged, group_limit=group_limit)
+    return flag_volume_spikes(flagged, group, group_limit=group_limit)
 
 
 def anomalous_rows(df: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from oreworks.operators.ranges import range_limits, with_range_number
-from oreworks.operators.skew import attach_group_values, balanced_join
+from oreworks.operators.skew import attach_group_values
+from oreworks.sinks.files import materialize
 
 # The limits of the ranges travel with the plan, so their number is bounded.
 MAX_RANGES = 4096
@@ -89,11 +90,13 @@ def global_rank(
 ) -> DataFrame:
     """Rank of every row by ``value``: ties share a rank and leave a gap; null gives null.
 
-    ``df`` is read more than once, so pass a written table, not a long derivation.
+    ``df`` is read more than once, so pass a written table, not a long derivation. The positions are
+    written once; the rows meet them in a left join, whose hot values Spark splits.
     """
     positions = value_positions(df, value, descending=descending, ranges=ranges)
+    positions = materialize(positions, "positions")
     ranks = positions.select(value, (F.col("start") + 1).alias(output))
-    return balanced_join(df, ranks, [value], "left", counts=positions.select(value, "n"))
+    return df.join(ranks, value, "left").select(*df.columns, output)
 
 
 def share_of_total(df: DataFrame, value: str, output: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,10 +112,10 @@ def derive_metrics(df: DataFrame, buckets: CapBuckets = STRICT_CAPS) -> DataFram
 
 
 def to_silver(
-    df: DataFrame, run_ts: datetime, buckets: CapBuckets = STRICT_CAPS
+    df: DataFrame, run_ts: datetime | Column, buckets: CapBuckets = STRICT_CAPS
 ) -> DataFrame:
-    """Valid Bronze records to Silver rows, stamped with the time of the run."""
-    stamp = ts_literal(run_ts)
+    """Valid Bronze records to Silver rows, stamped with the time of the run or a Silver column."""
+    stamp = run_ts if isinstance(run_ts, Column) else ts_literal(run_ts)
     return derive_metrics(project_silver(nan_to_null(df)), buckets).withColumns(
         {"silver_processed_at": stamp, "updated_at": stamp}
     )

@@ -105,17 +105,16 @@ def attach_group_values(
     groups: DataFrame,
     on: Sequence[str],
     group_limit: int | None = None,
-    size: str | None = None,
 ) -> DataFrame:
     """Add per-group values to every row of the group, nulls forming a group of their own.
 
     ``group_limit`` is a proven upper limit of the number of groups (for example the number of
     size classes). With it the groups are broadcast and the rows are not moved at all. Without it
-    the join is balanced by ``size``, the column of ``groups`` with the rows per group.
+    ``groups`` should be a written table: Spark broadcasts it where its size is under the session's
+    limit, and otherwise joins by key and splits the partitions of hot groups.
     """
-    if group_limit is None:
-        counts = groups.select(*on, F.col(size).alias("n")) if size else None
-        return balanced_join(rows, groups, on, "left", counts, null_safe=True)
-    small = F.broadcast(_renamed(groups, on, "_k_"))
+    small = _renamed(groups, on, "_k_")
+    if group_limit is not None:
+        small = F.broadcast(small)
     joined = rows.join(small, _match(on, "_k_", True), "left")
     return joined.drop(*[f"_k_{c}" for c in on])

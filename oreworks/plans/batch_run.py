@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.config import STRICT_CAPS, CapBuckets, RowRules
@@ -63,6 +64,15 @@ def silver_batch(
     return detect_anomalies(silver, price_threshold, group_limit=len(buckets.labels))
 
 
+def silver_observations(
+    valid: DataFrame, price_threshold: float, buckets: CapBuckets = STRICT_CAPS
+) -> DataFrame:
+    """Valid rows of several snapshots, each stamped and flagged as in a batch of its own."""
+    silver = to_silver(valid, F.col("extracted_at"), buckets)
+    silver = materialize(silver, "silver-observations")
+    return detect_anomalies(silver, price_threshold, group=["extracted_at", "market_cap_category"])
+
+
 def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 

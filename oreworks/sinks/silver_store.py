@@ -4,6 +4,8 @@ Each run writes ``<root>/run=<label>/is_current=<bool>/``: the open versions aft
 the versions it closed. Labels sort by run time. A run counts once Spark's own ``_SUCCESS`` marker
 is there, so readers never see half a run, and repeating a run replaces only its own folder. The
 current state is the last run's open slice; the full history adds the closed slices of all runs.
+A run whose label ends in ``-whole`` holds the full history itself, and what lies before it is not
+read any more.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.config import TRACKED_COLUMNS
-from oreworks.operators.history import latest_per_key, scd2_changes
+from oreworks.operators.history import VERSION_COLUMNS, latest_per_key, scd2_chain, scd2_changes
 from oreworks.sinks.files import child_names, delete, exists, observed_counts, touch
 from oreworks.sinks.tables import with_flag
 
@@ -31,10 +33,12 @@ class FreedRunError(ValueError):
 
 
 _FREED = "_freed"
+_WHOLE = "-whole"
+_LABEL_TIME = "t%Y%m%dT%H%M%S%f"
 
 
 def run_label(run_ts: datetime, suffix: str = "") -> str:
-    label = run_ts.strftime("t%Y%m%dT%H%M%S%f")
+    label = run_ts.strftime(_LABEL_TIME)
     return f"{label}-{suffix}" if suffix else label
 
 
@@ -66,9 +70,14 @@ def read_current(spark: SparkSession, root: str, run: str | None = None) -> Data
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
     """Every version: the open slice of the last run and the closed slices of all runs."""
-    runs = committed_runs(spark, root)
+    return _versions_of(spark, root, committed_runs(spark, root))
+
+
+def _versions_of(spark: SparkSession, root: str, runs: Sequence[str]) -> DataFrame:
+    whole = [i for i, r in enumerate(runs) if r.endswith(_WHOLE)]
     wanted = ~F.col("is_current") | (F.col("run") == F.lit(runs[-1]))
-    return _read(spark, root, runs).filter(wanted).drop("run", "change")
+    rows = _read(spark, root, runs[whole[-1] :] if whole else runs)
+    return rows.filter(wanted).drop("run", "change")
 
 
 def read_run(spark: SparkSession, root: str, run: str) -> DataFrame:
@@ -98,15 +107,73 @@ def merge_batch(
     if earlier and earlier[-1] > label:
         raise LateBatchError(f"run {label} is not later than {earlier[-1]}")
     current = read_current(spark, root, earlier[-1]) if earlier else None
-    keyed = F.lit(True)
-    for k in key:
-        keyed = keyed & F.col(k).isNotNull()
-    if any(batch.schema[k].nullable for k in key):
-        batch.filter(~keyed).write.mode("overwrite").parquet(f"{root}_rejected/run={label}")
-        batch = batch.filter(keyed)
+    batch = _with_key(batch, key, f"{root}_rejected/run={label}")
     changes = scd2_changes(
         current, latest_per_key(batch, key), run_ts, key, tracked, close_missing
     )
+    return _write_run(changes, root, label, key)
+
+
+def merge_observations(
+    spark: SparkSession,
+    root: str,
+    batch: DataFrame,
+    part: str,
+    key: Sequence[str] = ("coin_id",),
+    tracked: Sequence[str] = TRACKED_COLUMNS,
+    time: str = "extracted_at",
+) -> dict[str, int]:
+    """Merge rows observed at any times as one run and return the versions per kind of change.
+
+    Every row counts at its own ``time``. ``part`` names the batch; names sort in the order of
+    arrival, and the last one again replaces its own run. All observations are kept in
+    ``<root>_observed``. Where a batch has times before the last run, the versions of its keys are
+    made again from all their observations, and the run is written with the whole history. Rows
+    without a time or key part go to ``<root>_rejected/run=<part>``.
+    """
+    store = f"{root}_observed"
+    batch = _with_key(batch, [*key, time], f"{root}_rejected/run={part}")
+    latest_per_key(batch, [*key, time]).write.mode("overwrite").parquet(f"{store}/part={part}")
+    rows = spark.read.schema(batch.schema).parquet(f"{store}/part={part}")
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    if first is None:
+        return dict.fromkeys(CHANGES, 0)
+    earlier = [r for r in committed_runs(spark, root) if not r.removesuffix(_WHOLE).endswith(f"-{part}")]
+    if not earlier:
+        return _write_run(scd2_chain(None, rows, key, tracked, time), root, run_label(last, part), key)
+    reached = datetime.strptime(earlier[-1].split("-")[0], _LABEL_TIME)
+    label = run_label(max(last, reached), part)
+    if first >= reached:
+        current = read_current(spark, root, earlier[-1])
+        return _write_run(scd2_chain(current, rows, key, tracked, time), root, label, key)
+
+    touched = rows.select(*key).distinct()
+    versions = _versions_of(spark, root, earlier)
+    observed = spark.read.option("basePath", store).option("mergeSchema", True).parquet(store)
+    observed = observed.join(touched, list(key), "left_semi")
+    # Versions from merges of another kind have no observation: each stands for one at its start.
+    starts = versions.join(touched, list(key), "left_semi").withColumn(time, F.col("valid_from"))
+    starts = starts.drop(*VERSION_COLUMNS).withColumn("part", F.lit(""))
+    seen = observed.unionByName(starts, allowMissingColumns=True)
+    seen = latest_per_key(seen, [*key, time], ["part", "last_updated"]).drop("part")
+    again = scd2_chain(None, seen, key, tracked, time)
+    kept = versions.join(touched, list(key), "left_anti").withColumn("change", F.lit("carried"))
+    return _write_run(again.unionByName(kept, allowMissingColumns=True), root, label + _WHOLE, key)
+
+
+def _with_key(batch: DataFrame, key: Sequence[str], rejected: str) -> DataFrame:
+    """Rows with all parts of the key; the others are written to a table of their own."""
+    keyed = F.lit(True)
+    for k in key:
+        keyed = keyed & F.col(k).isNotNull()
+    if not any(batch.schema[k].nullable for k in key):
+        return batch
+    batch.filter(~keyed).write.mode("overwrite").parquet(rejected)
+    return batch.filter(keyed)
+
+
+def _write_run(changes: DataFrame, root: str, label: str, key: Sequence[str]) -> dict[str, int]:
+    spark = changes.sparkSession
     seen = Observation()
     # The join left the rows in place by key; sorting needs no further shuffle.
     counted = changes.sortWithinPartitions("is_current", *key, "valid_from").observe(

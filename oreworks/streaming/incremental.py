@@ -2,28 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.config import STRICT_CAPS, CapBuckets, RowRules
-from oreworks.functions import utc_timestamp
 from oreworks.operators.validation import flag_rows
-from oreworks.plans.batch_run import silver_batch
+from oreworks.plans.batch_run import silver_observations
 from oreworks.schemas import BRONZE_SCHEMA
-from oreworks.sinks.silver_store import LateBatchError, merge_batch
+from oreworks.sinks.silver_store import merge_observations
 from oreworks.sinks.tables import read_valid, write_flagged
 from oreworks.sources.landing import narrow_longs, wide_longs
 
 
-def _batch_time(valid: DataFrame) -> datetime | None:
-    """The latest extraction time in a batch: a property of the data, so a replay repeats it."""
-    text = valid.agg(F.max(utc_timestamp("extracted_at")).alias("t"))
-    return text.first()["t"]
-
-
 def incremental_silver(
     spark: SparkSession,
     landing: str,
@@ -38,12 +28,12 @@ def incremental_silver(
 ) -> None:
     """Process the files that arrived since the last call, then stop.
 
-    The checkpoint remembers the files. A micro-batch is one batch: of several records of a key
-    the newest counts, so use ``max_files`` where every landed snapshot should leave a version. A
-    micro-batch that is repeated after a failure carries the
-    same batch number and so replaces its own run of the Silver history. A batch older than the
-    last run goes to ``<root>_late`` instead of rewriting the past. ``multi_line`` reads files that
-    hold one JSON array each instead of lines; empty files and files without a valid row make no run.
+    The checkpoint remembers the files. Every record counts at its own extraction time, so the
+    history does not depend on how many files a micro-batch happens to take, nor on their order:
+    late records are merged at their place in time. A micro-batch that is repeated after a failure
+    carries the same batch number and so replaces its own run. Valid records without a readable time
+    go to ``<root>_rejected``. ``multi_line`` reads files that hold one JSON array each instead of
+    lines; empty files and files without a valid row make no run.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -52,14 +42,8 @@ def incremental_silver(
         validated = f"{root}_validated/run_id={run}"
         flagged = flag_rows(records, rules)
         write_flagged(flagged, validated)
-        run_ts = _batch_time(read_valid(spark, validated, flagged.schema))
-        if run_ts is None:
-            return  # no valid row with a time in these files; all rows are kept above
-        silver = silver_batch(spark, validated, run_ts, price_threshold, buckets, flagged.schema)
-        try:
-            merge_batch(spark, root, silver, run_ts, suffix=run)
-        except LateBatchError:
-            silver.write.mode("overwrite").parquet(f"{root}_late/run_id={run}")
+        valid = read_valid(spark, validated, flagged.schema)
+        merge_observations(spark, root, silver_observations(valid, price_threshold, buckets), run)
 
     reader = spark.readStream.schema(wide_longs(schema)).option("multiLine", multi_line)
     if max_files:

@@ -15,7 +15,13 @@ from oreworks.plans.views import (
     top_movers,
     volatility_estimate,
 )
-from oreworks.sinks.silver_store import committed_runs, read_current, read_versions
+from oreworks.sinks.silver_store import (
+    committed_runs,
+    merge_batch,
+    merge_observations,
+    read_current,
+    read_versions,
+)
 from oreworks.sources.landing import read_json_arrays
 from oreworks.streaming.incremental import incremental_silver
 
@@ -118,17 +124,57 @@ def test_incremental_equals_batches_and_repeats_nothing(spark, folder):
     batched = read_versions(spark, layout.silver).select(*streamed.columns)
     assert streamed.count() == 4 and streamed.exceptAll(batched).count() == 0
 
-    # A batch older than the last run is set aside and does not rewrite the past.
-    land(landing, "late.json", records(DAY1, ("a", 99.0, 1, 0.0)), lines=True)
-    step()
-    assert len(committed_runs(spark, root)) == 2
-    assert spark.read.parquet(f"{root}_late").count() == 1
     # A batch without a valid row makes no run.
     land(landing, "empty.json", records(DAY2, ("n", None, 1, 0.0)), lines=True)
     step()
     assert len(committed_runs(spark, root)) == 2
 
 
+DAY3 = datetime(2024, 1, 3)
+THIRD = records(DAY3, ("a", 1.0, 2 * 10**10, 50.0), ("b", 2.0, 5, -3.0), ("d", 4.0, 5, 0.0))
+
+
+def history(spark, root):
+    rows = read_versions(spark, root)
+    return sorted(tuple(str(r[c]) for c in sorted(rows.columns)) for r in rows.collect())
+
+
+@pytest.mark.parametrize("arrivals", [((0, 1, 2),), ((0, 2), (1,)), ((1, 2), (0, 0))])
+def test_history_does_not_depend_on_arrival(spark, folder, arrivals):
+    """Snapshots at once, one by one or out of order give the history of three batches in order."""
+    days = list(zip((DAY1, DAY2, DAY3), (FIRST, SECOND, THIRD), strict=True))
+    layout = Layout(f"{folder}/batch")
+    for day, rows in days:
+        land(f"{folder}/{day:%d}", "x.json", rows)
+        run_batch(spark, read_json_arrays(spark, f"{folder}/{day:%d}"), layout, day, RULES, 0.5)
+    landing, root, checkpoint = (f"{folder}/{n}" for n in ("landing", "silver", "checkpoint"))
+    for step, group in enumerate(arrivals):
+        for place, i in enumerate(group):
+            land(landing, f"{step}_{place}.json", days[i][1], lines=True)
+        incremental_silver(spark, landing, root, checkpoint, RULES, 0.5)
+    assert history(spark, root) == history(spark, layout.silver)
+    assert len(committed_runs(spark, root)) == len(arrivals)
+
+
+def test_a_late_batch_joins_versions_of_other_merges(spark, folder):
+    """Versions that a batch merge made are kept, those of late keys split at the late time."""
+    kind = "coin_id string, current_price double, market_cap long, total_volume long, extracted_at timestamp_ntz"
+    rows = lambda *r: spark.createDataFrame(list(r), kind)
+    for day, price in ((DAY1, 1.0), (DAY3, 3.0)):
+        merge_batch(spark, folder, rows(("a", price, 1, 1, day), ("b", 1.0, 1, 1, day)), day)
+    late = rows(("a", 2.0, 1, 1, DAY2), ("n", 9.0, 1, 1, DAY1), ("n", 9.0, 1, 1, None), (None, 1.0, 1, 1, DAY1))
+    for _ in range(2):  # the second time replaces the run
+        merge_observations(spark, folder, late, "p1")
+        found = read_versions(spark, folder)
+        got = sorted((r.coin_id, r.current_price, r.valid_from, r.valid_to) for r in found.filter("coin_id <> 'b'").collect())
+        assert got[:3] == [("a", 1.0, DAY1, DAY2), ("a", 2.0, DAY2, DAY3), ("a", 3.0, DAY3, None)]
+        assert got[3] == ("n", 9.0, DAY1, None) and found.count() == 5
+        assert spark.read.parquet(f"{folder}_rejected/run=p1").count() == 2
+    assert read_current(spark, folder).count() == 3
+    merge_observations(spark, folder, rows().limit(0), "p2")
+    assert len(committed_runs(spark, folder)) == 3
+
+
 def test_parts_of_one_extraction_arrive_one_by_one(spark, folder):
     landing, root, checkpoint = (f"{folder}/{n}" for n in ("landing", "silver", "checkpoint"))
     land(landing, "p1.json", records(DAY1, ("a", 1.0, 5, 0.0)), lines=True)

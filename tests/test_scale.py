@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oreworks.operators.ranking import exact_percentile, global_rank, share_of_total
+from oreworks.operators.ranking import exact_percentile, global_rank, share_of_total, value_positions
 from oreworks.operators.skew import balanced_join, salted_join
 from oreworks.sinks.files import materialize
 
@@ -51,7 +51,7 @@ def test_rank_of_one_value_and_of_nothing(spark):
 
 
 def test_rank_moves_no_row_to_a_single_task(skewed):
-    plan = global_rank(skewed, "v")._jdf.queryExecution().executedPlan().toString()
+    plan = value_positions(skewed, "v")._jdf.queryExecution().executedPlan().toString()
     # The whole-table window sorts the ranges only: at most one row per range reaches it.
     for line in plan.split("\n"):
         if "Window [" in line and "_range_n" not in line:
