@@ -390,6 +390,43 @@ def test_chains_go_on_past_any_number_of_others():
     assert len(passages._chained({(0, 30, 0), (far - 1, far + 9, 0)})) == 1
 
 
+@pytest.mark.parametrize("length", [52, 58])
+def test_a_signature_on_one_diagonal_finds_an_inserted_or_deleted_word(length):
+    """Whichever of the two diagonals has the signature, and however short its side is."""
+    rng = random.Random(length)
+    for at in (10, 20, 30, 40):
+        passage = [f"p{rng.getrandbits(40)}" for _ in range(length)]
+        for changed in (passage[:at] + ["new"] + passage[at:], passage[:at] + passage[at + 1 :]):
+            a, b = (passages.shingles(" ".join(["x", *p, "y"]).encode()) for p in (passage, changed))
+            moved = 1 if len(changed) > length else -1
+            a, b = a[1:-1], b[1:-1]
+            if passages._similar(a, b) < 0.8:
+                continue
+            for shift in (0, moved):
+                (found,) = passages.similar_passages(a, b, [shift])
+                assert found[:2] == (0, length) and found[2:4] == (0, len(changed))
+
+
+@pytest.mark.parametrize("dense", [1 << 21, 0])
+def test_common_runs_against_plain_search(dense, monkeypatch):
+    monkeypatch.setattr(passages, "DENSE_PAIRS", dense)
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        a, b = (rng.integers(0, 4, size=rng.integers(1, 30)).astype(np.uint64) for _ in range(2))
+        equal = {(i, j) for i in range(len(a)) for j in range(len(b)) if a[i] == b[j]}
+        got = [(s + k, s + k + shift) for s, e, shift in passages._common_runs(a, b) for k in range(e - s)]
+        assert len(got) == len(set(got)) and set(got) == equal
+        assert not {(e, e + shift) for _, e, shift in passages._common_runs(a, b)} & equal
+
+
+def test_text_that_repeats_itself_is_one_passage():
+    rng = random.Random(4)
+    line = words(rng, 12)
+    text = passages.shingles(" ".join([line] * 60).encode())
+    found = passages.similar_passages(text, text, [0])
+    assert [f[:4] for f in found] == [(0, 720, 0, 720)]
+
+
 def test_repeated_passages(spark):
     docs = [(i, t) for i, t in corpus()]
     frame = documents(spark, [*docs, (None, docs[0][1])])
