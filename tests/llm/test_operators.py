@@ -457,6 +457,23 @@ def test_repeated_passages(spark):
     assert passages.repeated_passages(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("group", [32, 1])
+def test_copies_behind_looser_earlier_documents(spark, group, monkeypatch):
+    """The later two have the same passage, the earlier ones only a long phrase of it."""
+    monkeypatch.setattr(passages, "GROUP_WINDOWS", group)
+    rng = random.Random(9)
+    rows, want = [], set()
+    for i in range(120):
+        passage = [f"w{rng.getrandbits(40)}" for _ in range(51)]
+        fill = lambda n: " ".join(f"f{rng.getrandbits(40)}" for _ in range(n))
+        loose = [" ".join(passage[8:43])] * 3
+        for k, text in enumerate([*loose, " ".join(passage), " ".join(passage)]):
+            rows.append((10 * i + k, f"{fill(30)} {text} {fill(30)}"))
+        want.add((10 * i + 4, 10 * i + 3))
+    found = {(r.doc, r.source) for r in passages.repeated_passages(documents(spark, rows)).collect()}
+    assert found == want
+
+
 def test_passages_of_very_long_text_and_hot_keys(spark, monkeypatch):
     rng = random.Random(6)
     passage = words(rng, 80)
