@@ -474,6 +474,15 @@ def test_copies_behind_looser_earlier_documents(spark, group, monkeypatch):
     assert found == want
 
 
+def test_only_the_first_text_of_a_repeated_id_is_cut(spark):
+    rng = random.Random(10)
+    passage, clean = words(rng, 70), "zz " + words(rng, 90)
+    rows = [(1, passage), (2, f"aa {passage}"), (2, clean), (2, None), (2, f"aa {passage}")]
+    rows.append((3, words(random.Random(11), 80) + " " + " ".join(clean.split()[1:])))
+    cut = [(r.doc_id, r.text) for r in passages.without_repeats(documents(spark, rows)).collect()]
+    assert sorted(cut, key=str) == sorted([rows[0], (2, "aa "), rows[2], rows[3], (2, "aa "), rows[5]], key=str)
+
+
 def test_passages_of_very_long_text_and_hot_keys(spark, monkeypatch):
     rng = random.Random(6)
     passage = words(rng, 80)
