@@ -20,9 +20,6 @@ from oreworks.llm.fmindex import words_of
 from oreworks.llm.shared import ascii_lower, text_slices
 from oreworks.sinks.files import materialize
 
-#: Longest word of the unigram model in characters. Longer words of the text are not names.
-LONGEST_WORD = 24
-
 
 class Rule(NamedTuple):
     verdict: str
@@ -61,22 +58,27 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return name, verdict
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, texts in text_slices(batch, "text"):
-            counts: Counter[bytes] = Counter()
-            for t in texts:
-                counts.update(words_of(t))
-            words = [(w.decode(), n) for w, n in counts.items() if len(w) <= 4 * LONGEST_WORD]
-            words = [(w, n) for w, n in words if len(w) <= LONGEST_WORD]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in words], pa.string()), pa.array([n for _, n in words], pa.int64())], ["word", "n"]
-            )
-
-
-def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
-    """``(word, n)`` over whole texts: words as in the decontamination operator, counted by task first."""
-    counted = texts.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counted, "word string, n bigint")
+def _counted(longest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in text_slices(batch, "text"):
+                counts: Counter[str] = Counter()
+                for w, n in Counter(w for t in texts for w in words_of(t)).items():
+                    word = w.decode()
+                    counts[word if len(word) <= longest else ""] += n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
+                )
+
+    return run
+
+
+def word_counts(texts: DataFrame, text_col: str, longest: int) -> DataFrame:
+    """``(word, n)`` over whole texts: words as in the decontamination operator, counted by task first.
+
+    Words of more than ``longest`` characters can't stand in a name and count together, as an empty word.
+    """
+    counted = texts.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counted(longest), "word string, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -115,14 +117,13 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
     """``(name, words)`` for distinct names, split by the word counts.
 
-    Every substring up to the longest word is joined to the counts, and the arcs of a name (at most
-    the longest word per character) are gathered. A character of no known word costs as a word that
+    Every substring of a name is joined to the counts, and the arcs of a name are gathered. A character of no known word costs as a word that
     is ten times rarer than one seen once.
     """
     total = F.lit(float(counts.agg(F.sum("n")).first()[0] or 1))
     starts = names.select("name", F.explode(F.expr("sequence(0, char_length(name) - 1)")).alias("start"))
-    longest = F.least(F.lit(LONGEST_WORD), F.char_length("name") - F.col("start"))
-    parts = starts.select("name", "start", F.explode(F.sequence(F.lit(1), longest)).alias("length"))
+    rest = F.char_length("name") - F.col("start")
+    parts = starts.select("name", "start", F.explode(F.sequence(F.lit(1), rest)).alias("length"))
     parts = parts.withColumn("word", F.expr("substr(name, start + 1, length)"))
     arcs = parts.join(counts, "word").select("name", F.struct("start", "length", F.log(F.col("n") / total).alias("p")).alias("arc"))
     arcs = arcs.groupBy("name").agg(F.collect_list("arc").alias("arcs"))
@@ -150,8 +151,9 @@ def judged(
     urls = materialize(urls.select("*", name.alias("rule"), verdict.alias("ruled")), "urls")
     parts = F.split("host", r"[.\-]")
     names = urls.select("host").distinct().select(F.explode(F.array_distinct(parts)).alias("name"))
-    names = names.filter("name <> ''").distinct()
-    words = materialize(segmented(names, materialize(word_counts(pages, text_col), "words")), "names")
+    names = materialize(names.filter("name <> ''").distinct(), "host-names")
+    longest = names.agg(F.max(F.char_length("name"))).first()[0] or 0
+    words = materialize(segmented(names, materialize(word_counts(pages, text_col, longest), "words")), "names")
     hosts = urls.select("host").distinct().select("host", F.explode(parts).alias("name")).join(words, "name")
     host_tokens = hosts.select("host", F.explode("words").alias("word"))
     host_tokens = host_tokens.groupBy("host", F.concat(F.lit("h:"), "word").alias("token")).agg(F.count("*").alias("times"))

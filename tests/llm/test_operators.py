@@ -299,6 +299,17 @@ def test_bayes_learns_from_ruled_urls(spark):
     assert (found[200].verdict, found[201].verdict) == ("block", "allow")
 
 
+def test_long_words_are_names(spark):
+    """Two words with the same characters: by those alone their hosts would be judged alike."""
+    bad, good = "donaudampfschifffahrtskapitaen", "donaudampfschifffahrtskapitaen"[::-1]
+    rows = [(i, f"http://{bad}.net/x", f"{bad} {good} " * 9) for i in range(9)]
+    rows += [(100 + i, f"http://{good}.example.net/en/x", "") for i in range(9)]
+    rows += [(200, f"http://{bad}.com/y", ""), (201, f"http://{good}.com/y", "")]
+    found = by_id(hosts.judged(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect(), "id")
+    assert (found[200].verdict, found[201].verdict) == ("block", "allow")
+    assert sorted(bad) == sorted(good)
+
+
 def plain_fingerprint(text):
     own = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not own:
