@@ -25,7 +25,7 @@ from oreworks.plans.adapters import (
 from oreworks.plans.batch_run import Layout, run_batch
 from oreworks.plans.gold_store import append_gold, refresh_daily_summary, upsert_gold
 from oreworks.sinks.files import shared_dir
-from oreworks.sinks.silver_store import merge_batch, read_current, read_versions
+from oreworks.sinks.silver_store import merge_batch, read_current, read_versions, rebucket
 from oreworks.sinks.tables import write_json, write_table
 from oreworks.sources.landing import read_json_lines
 from oreworks.streaming.incremental import incremental_silver
@@ -78,6 +78,45 @@ def _scd2_merge(spark, sf_dir):
     return read_versions(spark, _history(spark, sf_dir)).select(*_VERSION_COLUMNS)
 
 
+# Keys of one part number in fifty.
+_FEW = "CAST(coin_id AS BIGINT) % 50 = 0"
+
+
+@query(
+    "scd2_few_keys",
+    versions_sql(
+        f"""SELECT {', '.join(c for c in _VERSION_COLUMNS if c not in ('valid_to', 'is_current'))},
+          CASE WHEN {_FEW} THEN valid_to END AS valid_to,
+          NOT ({_FEW}) OR is_current AS is_current
+        FROM versions WHERE {_FEW} OR valid_from = TIMESTAMP '{SNAPSHOT_DAYS[0]}'""",
+        SNAPSHOT_DAYS[0],
+        SNAPSHOT_DAYS[-1],
+    ),
+)
+def _scd2_few_keys(spark, sf_dir):
+    """A second batch of few keys leaves the buckets of the others alone."""
+    root = shared_dir(spark, "few-keys")
+    first, last = SNAPSHOT_DAYS[0], SNAPSHOT_DAYS[-1]
+    merge_batch(spark, root, flagged_snapshot(spark, sf_dir, first, _NARROW), first, buckets=64)
+    few = flagged_snapshot(spark, sf_dir, last, _NARROW).filter(_FEW)
+    merge_batch(spark, root, few, last)
+    return read_versions(spark, root).select(*_VERSION_COLUMNS)
+
+
+@query(
+    "silver_rebucketed",
+    versions_sql(f"SELECT {', '.join(_VERSION_COLUMNS)} FROM versions", *SNAPSHOT_DAYS),
+)
+def _silver_rebucketed(spark, sf_dir):
+    """The store goes on in more buckets after two of three runs."""
+    root = shared_dir(spark, "rebucketed")
+    for day in SNAPSHOT_DAYS:
+        if day == SNAPSHOT_DAYS[-1]:
+            rebucket(spark, root, 12)
+        merge_batch(spark, root, flagged_snapshot(spark, sf_dir, day, _NARROW), day)
+    return read_versions(spark, root).select(*_VERSION_COLUMNS)
+
+
 @query(
     "silver_current",
     versions_sql(
@@ -293,12 +332,27 @@ def _incremental_late(spark, sf_dir):
     return _streamed(spark, sf_dir, (first, last), (late,))
 
 
+@query(
+    "incremental_same_time",
+    versions_sql(f"SELECT {', '.join(_VERSION_COLUMNS)} FROM versions", *_TWO_DAYS),
+)
+def _incremental_same_time(spark, sf_dir):
+    """A snapshot lands in two parts, and older records of its first part come with the second."""
+    first, last = _TWO_DAYS
+    even = F.col("id").cast("bigint") % 2 == 0
+    rows = market_snapshot(spark, sf_dir, last)
+    older = {"current_price": F.col("current_price") * 2, "last_updated": F.lit("1990-01-01T00:00:00")}
+    second = rows.filter(~even).unionByName(rows.filter(even).withColumns(older))
+    return _streamed(spark, sf_dir, (market_snapshot(spark, sf_dir, first),), (rows.filter(even),), (second,))
+
+
 def _streamed(spark, sf_dir, *landings):
-    """The history of the stream, started after each landing of some snapshots."""
+    """The history of the stream, started after each landing of some snapshots (or their days)."""
     base = shared_dir(spark, "incremental")
-    for days in landings:
-        for day in days:
-            write_json(market_snapshot(spark, sf_dir, day), f"{base}/landing", "append")
+    for group in landings:
+        for given in group:
+            rows = market_snapshot(spark, sf_dir, given) if isinstance(given, datetime) else given
+            write_json(rows, f"{base}/landing", "append")
         incremental_silver(
             spark,
             f"{base}/landing",

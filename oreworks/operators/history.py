@@ -107,24 +107,28 @@ def scd2_chain(
     key: Sequence[str] = ("coin_id",),
     tracked: Sequence[str] = TRACKED_COLUMNS,
     time: str = "extracted_at",
+    seen_to: str | None = None,
 ) -> DataFrame:
     """Like :func:`scd2_changes` for a batch that observed its keys at several times.
 
     Every observation that differs from the one before it opens a version at its own ``time``; of
     rows with the same key and time the newest counts. The open versions of ``current`` must not be
     later than the batch. A key has at most one row per time here, and tasks hold one row of it at
-    a time. Neither key nor time may be null.
+    a time. Neither key nor time may be null. ``seen_to`` names a column that gets the last time at
+    which each key was observed, changed or not; ``current`` has it from the merge before.
     """
     key = list(key)
     batch = latest_per_key(batch.drop(*VERSION_COLUMNS), [*key, time])
     stamps = {"valid_from": F.col(time), "updated_at": F.col(time), "_old": F.lit(False)}
-    rows = batch.withColumns(stamps)
+    rows = batch.withColumns(stamps | ({seen_to: F.col(time)} if seen_to else {}))
     if current is not None:
         old = current.drop("valid_to", "is_current").withColumn("_old", F.lit(True))
         rows = rows.unionByName(old, allowMissingColumns=True)
     in_time = Window.partitionBy(*key).orderBy("valid_from", F.desc("_old"))
     state = F.struct(*tracked)
     seen = rows.withColumn("_before", F.lag(state).over(in_time))
+    if seen_to:
+        seen = seen.withColumn(seen_to, F.max(seen_to).over(Window.partitionBy(*key)))
     opens = F.col("_before").isNull() | ~state.eqNullSafe(F.col("_before"))
     versions = seen.filter(opens).withColumn("valid_to", F.lead("valid_from").over(in_time))
     is_open = F.col("valid_to").isNull()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.config import STRICT_CAPS, CapBuckets, RowRules
-from oreworks.operators.anomalies import detect_anomalies
+from oreworks.operators.anomalies import detect_anomalies, flag_price_anomalies
 from oreworks.operators.gold import gold_extended
 from oreworks.operators.silver import to_silver
 from oreworks.operators.validation import flag_rows
@@ -67,10 +67,12 @@ def silver_batch(
 def silver_observations(
     valid: DataFrame, price_threshold: float, buckets: CapBuckets = STRICT_CAPS
 ) -> DataFrame:
-    """Valid rows of several snapshots, each stamped and flagged as in a batch of its own."""
+    """Valid rows of several snapshots, each stamped at its own time and with its price flag.
+
+    Volume spikes need all rows of a snapshot; the store tells them (``SnapshotLimits``).
+    """
     silver = to_silver(valid, F.col("extracted_at"), buckets)
-    silver = materialize(silver, "silver-observations")
-    return detect_anomalies(silver, price_threshold, group=["extracted_at", "market_cap_category"])
+    return flag_price_anomalies(silver, price_threshold)
 
 
 def _now() -> datetime:

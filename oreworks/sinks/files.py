@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,12 +38,35 @@ def clear_scratch(spark: SparkSession) -> bool:
     return delete(spark, _scratch_root(spark))
 
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def freed_after(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`materialize` writes inside the block go at its end.
+
+    For steps that repeat for as long as an application lives, and that leave nothing behind but
+    what they write elsewhere.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that is read more than once and go on from the written table.
 
     Unlike a cache it survives lost executors and later reads are column-pruned.
     """
     path = shared_dir(df.sparkSession, name)
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -74,6 +99,32 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, target = _path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is not there yet; false where it is."""
+    fs, target = _path(spark, path)
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or fs.exists(target):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def move_files(spark: SparkSession, source: str, target: str) -> int:
     """Move the files of a folder into another of the same file system; data is not rewritten.
 

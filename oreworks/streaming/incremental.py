@@ -9,7 +9,8 @@ from oreworks.config import STRICT_CAPS, CapBuckets, RowRules
 from oreworks.operators.validation import flag_rows
 from oreworks.plans.batch_run import silver_observations
 from oreworks.schemas import BRONZE_SCHEMA
-from oreworks.sinks.silver_store import merge_observations
+from oreworks.sinks.files import freed_after
+from oreworks.sinks.silver_store import BUCKETS, SnapshotLimits, merge_observations
 from oreworks.sinks.tables import read_valid, write_flagged
 from oreworks.sources.landing import narrow_longs, wide_longs
 
@@ -25,13 +26,16 @@ def incremental_silver(
     schema: T.StructType = BRONZE_SCHEMA,
     max_files: int | None = None,
     multi_line: bool = False,
+    store_buckets: int = BUCKETS,
 ) -> None:
     """Process the files that arrived since the last call, then stop.
 
     The checkpoint remembers the files. Every record counts at its own extraction time, so the
     history does not depend on how many files a micro-batch happens to take, nor on their order:
-    late records are merged at their place in time. A micro-batch that is repeated after a failure
-    carries the same batch number and so replaces its own run. Valid records without a readable time
+    late records are merged at their place in time, of records with equal key and time the newest
+    counts, and volume spikes are told by all records of a snapshot, also those of other
+    micro-batches. A micro-batch that is repeated after a failure carries the same batch number and so
+    replaces its own run. What it writes in between is freed with it. Valid records without a readable time
     go to ``<root>_rejected``. ``multi_line`` reads files that hold one JSON array each instead of
     lines; empty files and files without a valid row make no run.
     """
@@ -43,7 +47,9 @@ def incremental_silver(
         flagged = flag_rows(records, rules)
         write_flagged(flagged, validated)
         valid = read_valid(spark, validated, flagged.schema)
-        merge_observations(spark, root, silver_observations(valid, price_threshold, buckets), run)
+        with freed_after(spark):
+            rows = silver_observations(valid, price_threshold, buckets)
+            merge_observations(spark, root, rows, run, limits=SnapshotLimits(), buckets=store_buckets)
 
     reader = spark.readStream.schema(wide_longs(schema)).option("multiLine", multi_line)
     if max_files:
