@@ -468,10 +468,10 @@ def test_repeated_passages(spark):
     assert passages.repeated_passages(frame.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("group", [32, 1])
-def test_copies_behind_looser_earlier_documents(spark, group, monkeypatch):
+@pytest.mark.parametrize("chunk", [1 << 19, 400])
+def test_copies_behind_looser_earlier_documents(spark, chunk, monkeypatch):
     """The later two have the same passage, the earlier ones only a long phrase of it."""
-    monkeypatch.setattr(passages, "GROUP_WINDOWS", group)
+    monkeypatch.setattr(passages, "CHUNK_SHINGLES", chunk)
     rng = random.Random(9)
     rows, want = [], set()
     for i in range(120):
