@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from oreworks.operators.validation import out_of_range
 from oreworks.schemas import TableContract
 
 REPORT_FIELDS = ("check", "column_name", "metric", "value", "threshold", "passed")
+COLUMNS_A_SCAN = 60
 
 
 def _line(check: str, column: str, metric: str, value, threshold, passed) -> Column:
@@ -44,7 +46,7 @@ def _null_count(column: str) -> Column:
 
 
 def quality_report(df: DataFrame, rules: FrameRules, as_of: datetime | None = None) -> DataFrame:
-    """Completeness, range and freshness in one pass; uniqueness reads its columns once more."""
+    """Completeness, range and freshness in one pass; uniqueness takes a second one for all its columns."""
     stats: dict[str, Column] = {"total": F.count("*")}
     lines: list[Column] = []
     for c in [c for c in rules.required if c in df.columns]:
@@ -83,33 +85,47 @@ def quality_report(df: DataFrame, rules: FrameRules, as_of: datetime | None = No
 def uniqueness_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Total, distinct and duplicate values per column; null counts as one value.
 
-    Each column is counted by value in its own type and reads nothing but itself. The counts
-    combine before the shuffle, so a value that fills much of the table is one row per task by
-    then. ``df`` is read once per column; pass a table, not a long derivation.
+    All columns are counted in one scan and one shuffle: each column is a grouping set of its own,
+    so values are compared in their own types. The counts combine before the shuffle, so a value
+    that fills much of the table is one row per task by then. A grouping id has 64 bits; more
+    columns than :data:`COLUMNS_A_SCAN` take a further scan.
     """
-    parts = [_uniqueness_of(df, c) for c in columns]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    distinct = list(dict.fromkeys(columns))
+    parts = [
+        _uniqueness_of(df, distinct[at : at + COLUMNS_A_SCAN])
+        for at in range(0, len(distinct), COLUMNS_A_SCAN)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _uniqueness_of(df: DataFrame, column: str) -> DataFrame:
-    is_map = isinstance(df.schema[column].dataType, T.MapType)
-    value = F.map_entries(column) if is_map else F.col(column)  # maps cannot be grouped
-    counted = df.groupBy(value.alias("v")).agg(F.count("*").alias("n"))
-    stats = counted.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")
-    ).withColumn("extra", F.col("total") - F.col("distinct"))
-    ok = F.col("extra") == 0
-    return _report(
-        stats,
-        [
-            _line("uniqueness", column, "total", F.col("total"), None, ok),
-            _line("uniqueness", column, "distinct", F.col("distinct"), None, ok),
-            _line("uniqueness", column, "duplicates", F.col("extra"), 0, ok),
-        ],
+def _uniqueness_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The report of some columns. ``_which`` has a zero bit for the column that a row counts."""
+    keys = [f"_v{place}" for place in range(len(columns))]
+    values = df.select(*[_groupable(df, c).alias(k) for c, k in zip(columns, keys, strict=True)])
+    counted = values.groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("_which"), F.count("*").alias("n")
     )
+    every = (1 << len(keys)) - 1
+    stats, lines = [], []
+    for place, c in enumerate(columns):
+        here = F.col("_which") == (every ^ (1 << (len(keys) - 1 - place)))
+        total, distinct = f"_total{place}", f"_distinct{place}"
+        stats.append(F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0)).alias(total))
+        stats.append(F.count_if(here).alias(distinct))
+        extra = F.col(total) - F.col(distinct)
+        ok = extra == 0
+        lines += [
+            _line("uniqueness", c, "total", F.col(total), None, ok),
+            _line("uniqueness", c, "distinct", F.col(distinct), None, ok),
+            _line("uniqueness", c, "duplicates", extra, 0, ok),
+        ]
+    return _report(counted.agg(*stats), lines)
+
+
+def _groupable(df: DataFrame, column: str) -> Column:
+    """Maps cannot be grouped; their entries can."""
+    is_map = isinstance(df.schema[column].dataType, T.MapType)
+    return F.map_entries(column) if is_map else F.col(column)
 
 
 def fold_report(report: DataFrame) -> dict:

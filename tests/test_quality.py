@@ -126,6 +126,28 @@ def test_uniqueness_counts_null_once(spark):
     assert found["uniqueness", "b", "distinct"].value == 3  # the zeros are one value
 
 
+def test_uniqueness_of_all_columns_is_one_scan(spark, folder):
+    rows = [(i % 3, "x" if i % 2 else None, [i % 5], {"k": i % 4}) for i in range(40)]
+    df = spark.createDataFrame(rows, "a int, b string, c array<int>, d map<string,int>")
+    df.write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    found = checks.uniqueness_report(stored, ["a", "b", "c", "d", "a"])
+    distinct = {r.column_name: r.value for r in found.filter("metric = 'distinct'").collect()}
+    assert distinct == {"a": 3, "b": 2, "c": 5, "d": 4}
+    assert {r.value for r in found.filter("metric = 'total'").collect()} == {40}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 1 and plan.count("Expand") == 1
+
+
+def test_uniqueness_of_more_columns_than_a_grouping_id_holds(spark):
+    width = checks.COLUMNS_A_SCAN + 3
+    df = spark.range(6).select(*[(F.col("id") % (1 + i % 6)).alias(f"c{i}") for i in range(width)])
+    found = report(checks.uniqueness_report(df, df.columns))
+    assert [found["uniqueness", f"c{i}", "distinct"].value for i in range(width)] == [
+        1 + i % 6 for i in range(width)
+    ]
+
+
 def test_range_and_open_bounds(spark):
     df = spark.createDataFrame([(-1,), (0,), (10,), (11,), (None,)], "a int")
     outside = lambda bounds: report(
