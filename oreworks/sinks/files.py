@@ -88,6 +88,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path."""
+    fs, target = _path(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, target = _path(spark, path)
     return fs.delete(target, True)

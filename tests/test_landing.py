@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from oreworks.schemas import BRONZE_SCHEMA
 from oreworks.sinks import bronze_store as store
-from oreworks.sinks.files import child_names, shared_dir
+from oreworks.sinks.files import child_names, shared_dir, total_bytes
 from oreworks.sinks.run_log import log_run, run_record
 from oreworks.sinks.tables import (
     compact_zorder,
@@ -19,6 +19,7 @@ from oreworks.sinks.tables import (
     with_z_key,
     write_json,
     write_table,
+    zorder_bits,
 )
 from oreworks.sources import landing
 
@@ -192,6 +193,47 @@ def test_z_key_orders_cells(spark):
     }
 
 
+def test_z_key_of_texts_with_a_long_shared_beginning(spark):
+    names = F.concat(F.lit("warehouse-eu-central-"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    rows = spark.range(4096).select(names.alias("name"), F.encode(names, "UTF-8").alias("raw"))
+    for column in ("name", "raw"):
+        keyed = with_z_key(rows, [column], bits=6).orderBy(column).collect()
+        cells = [r["_z"] for r in keyed]
+        assert cells == sorted(cells)
+        sizes = [cells.count(c) for c in range(64)]
+        assert min(sizes) >= 16 and max(sizes) <= 256  # 64 each, up to the sample
+
+
+def test_z_key_of_odd_texts(spark):
+    rows = spark.createDataFrame(
+        [(None, 1), ("", 2), ("", 2), ("é", 3), ("x" * 5000, 4), ("x" * 5000 + "y", 5)],
+        "t string, n int",
+    )
+    keyed = {(r.t, r.n): r["_z"] for r in with_z_key(rows, ["t"], bits=3).collect()}
+    assert keyed[None, 1] == 0 and keyed["", 2] <= keyed["x" * 5000, 4] <= keyed["é", 3]
+    none = rows.filter("t IS NULL")
+    assert [r["_z"] for r in with_z_key(none, ["t", "n"], bits=3).collect()] == [0]
+    assert with_z_key(rows.filter("n > 9"), ["t", "n"], bits=3).count() == 0
+
+
+def test_cells_follow_the_size(spark):
+    # 128 MB files: 1 GB, 1 TB, 100 TB.
+    assert [zorder_bits(files, 2) for files in (8, 8192, 819_200)] == [4, 8, 12]
+    assert zorder_bits(819_200, 1) == 12 and zorder_bits(0, 16) == 3
+
+
+def test_large_tables_are_cut_by_their_size(spark, folder):
+    df = spark.range(30000).select(F.md5(F.col("id").cast("string")).alias("coin_id"), "id")
+    df.write.parquet(f"{folder}/source")
+    size = total_bytes(spark, f"{folder}/source")
+    compact_zorder(spark, f"{folder}/source", f"{folder}/target", ["coin_id"], file_bytes=size // 20)
+    back = spark.read.parquet(f"{folder}/target")
+    assert back.exceptAll(df).count() == 0 and back.count() == 30000
+    spans = back.groupBy(F.input_file_name()).agg(F.min("coin_id").alias("a"), F.max("coin_id").alias("b"))
+    ends = sorted((r.a, r.b) for r in spans.collect())
+    assert len(ends) >= 20 and all(b <= a for (_, b), (a, _) in zip(ends, ends[1:]))
+
+
 def test_compaction_keeps_rows_and_narrows_files(spark, folder):
     df = spark.range(20000).select(
         F.concat(F.lit("coin"), F.col("id") % 997).alias("coin_id"),
