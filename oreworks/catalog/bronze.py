@@ -13,6 +13,7 @@ from oreworks.sinks import bronze_store as store
 from oreworks.sinks.files import shared_dir
 from oreworks.sinks.tables import write_json
 from oreworks.sources import landing
+from oreworks.sources.json_arrays import read_split_arrays
 
 LOADED_AT = datetime(2024, 2, 1, 12, 30, 45)
 PAGE_SIZE = 100
@@ -76,6 +77,40 @@ def _read_json_schema(spark, sf_dir):
     return records.select(*_PART_COLUMNS, "high_24h", "source", "fraction_lost")
 
 
+# Parts above this size have a damaged record; every fifth size has braces and a quote in its name.
+BROKEN_ABOVE = 45
+_BROKEN_SQL = """'{"id":"' || p_partkey || '","total_volume":}'"""
+
+
+@query(
+    "read_json_split",
+    f"""SELECT CASE WHEN p_size <= {BROKEN_ABOVE} THEN CAST(p_partkey AS VARCHAR) END AS id,
+      CASE WHEN p_size <= {BROKEN_ABOVE} THEN
+        CASE WHEN p_size % 5 = 0 THEN '}},{{"' || p_name || '}}' ELSE p_name END END AS name,
+      CASE WHEN p_size <= {BROKEN_ABOVE} THEN CAST(floor(p_retailprice) AS BIGINT) END AS market_cap,
+      CASE WHEN p_size > {BROKEN_ABOVE} THEN {_BROKEN_SQL} END AS corrupt_text FROM part""",
+)
+def _read_json_split(spark, sf_dir):
+    """Array files are read by byte ranges; damaged records come with their text."""
+    odd_name = F.concat(F.lit('},{"'), F.col("p_name"), F.lit("}"))
+    record = F.to_json(
+        F.struct(
+            F.col("p_partkey").cast("string").alias("id"),
+            F.when(F.col("p_size") % 5 == 0, odd_name).otherwise(F.col("p_name")).alias("name"),
+            F.col("p_retailprice").alias("market_cap"),
+        )
+    )
+    broken = F.concat(F.lit('{"id":"'), F.col("p_partkey"), F.lit('","total_volume":}'))
+    text = F.when(F.col("p_size") > BROKEN_ABOVE, broken).otherwise(record)
+    page = F.floor(F.col("p_partkey") / PAGE_SIZE)
+    listed = F.array_join(F.collect_list("text"), ",\n")
+    arrays = table(spark, sf_dir, "part").select(page.alias("page"), text.alias("text"))
+    arrays = arrays.groupBy("page").agg(F.concat(F.lit("["), listed, F.lit("]")).alias("value"))
+    path = shared_dir(spark, "arrays")
+    arrays.select("value").write.text(path)
+    return read_split_arrays(spark, path).select("id", "name", "market_cap", "corrupt_text")
+
+
 @query(
     "bronze_audit",
     f"""{_PART_SQL}, TIMESTAMP '{LOADED_AT}' AS bronze_loaded_at,
