@@ -14,6 +14,7 @@ from oreworks.operators.gold import (
 )
 from oreworks.operators.ranking import global_rank
 from oreworks.operators.silver import basic_clean, cast_if_present
+from oreworks.operators.sketches import rank_errors
 from oreworks.plans import views
 from oreworks.plans.adapters import (
     AS_OF,
@@ -24,7 +25,8 @@ from oreworks.plans.adapters import (
     silver_snapshot,
     table,
 )
-from oreworks.sinks.files import materialize
+from oreworks.plans.gold_store import store_sketches, stored_quantiles
+from oreworks.sinks.files import materialize, shared_dir
 from oreworks.sources.landing import register
 
 _CHANGE = "price_change_percentage_24h"
@@ -328,3 +330,52 @@ def _hand_off_view(spark, sf_dir):
         " FROM hand_off_silver GROUP BY market_cap_category"
     )
     return as_long(handed, "total_volume")
+
+
+# A sketch's choice is random, so the queries tell whether its rank is near, not its value.
+NEAR = 0.01
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+@query(
+    "volatility_estimate",
+    silver_sql(
+        """SELECT market_cap_category, CAST(count(*) AS BIGINT) AS num_coins, true AS is_near
+        FROM silver WHERE price_volatility_24h IS NOT NULL GROUP BY 1"""
+    ),
+)
+def _volatility_estimate(spark, sf_dir):
+    """Medians per class from sketches, by how far they lie from the exact rank."""
+    value = "price_volatility_24h"
+    silver = _silver(spark, sf_dir, views.CATEGORY, value)
+    medians = views.volatility_estimate(silver).select(
+        views.CATEGORY, F.col("median_volatility").alias("value"), F.lit(0.5).alias("fraction")
+    )
+    errors = rank_errors(silver, value, [views.CATEGORY], medians)
+    near = (F.col("error") < NEAR).alias("is_near")
+    return errors.select(views.CATEGORY, F.col("num_rows").alias("num_coins"), near)
+
+
+@query(
+    "price_quantiles_stored",
+    """SELECT o_orderpriority, f.fraction, CAST(count(o_totalprice) AS BIGINT) AS num_rows,
+         true AS is_near
+       FROM orders, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) f(fraction)
+       WHERE year(o_orderdate) >= 1995 GROUP BY 1, 2""",
+)
+def _price_quantiles_stored(spark, sf_dir):
+    """Sketches per quarter and class are stored; quantiles over years merge them, unread rows."""
+    groups = ["o_orderpriority"]
+    quarter = F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("quarter")
+    orders = table(spark, sf_dir, "orders").select(*groups, "o_orderdate", "o_totalprice", quarter)
+    path = shared_dir(spark, "sketches")
+    store_sketches(orders, path, "o_totalprice", "quarter", groups)
+    late = F.col("quarter") >= F.lit("1995-01-01").cast("date")
+    found = stored_quantiles(spark, path, QUARTILES, groups, late)
+    rows = orders.filter(F.year("o_orderdate") >= 1995)
+    errors = rank_errors(rows, "o_totalprice", groups, found.drop("num_rows"))
+    near = (F.col("error") < NEAR).alias("is_near")
+    kept = found.select(*groups, "fraction", "num_rows")
+    return kept.join(errors.drop("num_rows"), [*groups, "fraction"]).select(
+        *groups, "fraction", "num_rows", near
+    )

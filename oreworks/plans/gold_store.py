@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.functions import ts_literal
 from oreworks.operators.history import latest_per_key
 from oreworks.operators.merge import upsert
+from oreworks.operators.sketches import merge_sketches, quantile_sketches, sketch_quantiles
 from oreworks.plans.views import daily_market_summary
 from oreworks.schemas import GOLD_CONTRACT, GOLD_UPDATED
 from oreworks.sinks.files import child_names, materialize
@@ -55,6 +56,27 @@ def write_daily_summary(versions: DataFrame, path: str, created_at: datetime) ->
     return versions.sparkSession.read.parquet(path).count()
 
 
+def store_sketches(df: DataFrame, path: str, value: str, period: str, groups: Sequence[str]) -> int:
+    """Keep the quantile sketches of ``value`` per period and group.
+
+    The periods that occur in ``df`` are replaced, so a repeated load counts once. Pass whole periods.
+    """
+    return replace_partitions(quantile_sketches(df, value, [period, *groups]), path, period)
+
+
+def stored_quantiles(
+    spark: SparkSession,
+    path: str,
+    fractions: Sequence[float],
+    groups: Sequence[str],
+    periods: Column | None = None,
+) -> DataFrame:
+    """Quantiles over all stored periods, or over those that ``periods`` chooses by partition."""
+    stored = spark.read.parquet(path)
+    chosen = stored if periods is None else stored.filter(periods)
+    return sketch_quantiles(merge_sketches(chosen, groups), fractions)
+
+
 def refresh_daily_summary(
     versions: DataFrame, path: str, day: date, created_at: datetime
 ) -> int:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from oreworks.functions import days_between, exact_sum, percent_of, ts_literal
 from oreworks.operators.anomalies import anomalous_rows
 from oreworks.operators.ranking import exact_percentile, global_rank, share_of_total
+from oreworks.operators.sketches import quantile_sketches, sketch_quantiles
 from oreworks.sinks.bronze_store import extraction_stats
 
 CHANGE = "price_change_percentage_24h"
@@ -145,13 +146,12 @@ def volatility_analysis(versions: DataFrame, group_limit: int | None = None) ->
     return stats.join(renamed, F.col(CATEGORY).eqNullSafe(F.col("_c")), "left").drop("_c")
 
 
-def volatility_estimate(versions: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Approximate medians in one pass, for dashboards that can live with a rank error."""
-    v = "price_volatility_24h"
-    held = only_current(versions).filter(F.col(v).isNotNull())
-    return held.groupBy(CATEGORY).agg(
-        F.count("*").alias("num_coins"),
-        F.percentile_approx(v, 0.5, accuracy).alias("median_volatility"),
+def volatility_estimate(versions: DataFrame) -> DataFrame:
+    """Approximate medians per class in one pass, for dashboards that can live with a rank error."""
+    sketches = quantile_sketches(only_current(versions), "price_volatility_24h", [CATEGORY])
+    median = F.col("value").alias("median_volatility")
+    return sketch_quantiles(sketches, [0.5]).select(
+        CATEGORY, F.col("num_rows").alias("num_coins"), median
     )
 
 
