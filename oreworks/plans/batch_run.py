@@ -15,6 +15,7 @@ from oreworks.operators.gold import gold_extended
 from oreworks.operators.silver import to_silver
 from oreworks.operators.validation import flag_rows
 from oreworks.plans.gold_store import refresh_daily_summary, upsert_gold
+from oreworks.schemas import GOLD_CONTRACT
 from oreworks.sinks.files import materialize
 from oreworks.sinks.run_log import log_run, run_record
 from oreworks.sinks.silver_store import CHANGES, merge_batch, read_current
@@ -120,7 +121,9 @@ def run_batch(
         batch = silver_batch(spark, validated, run_ts, price_threshold, buckets, flagged.schema)
         changes = merge_batch(spark, layout.silver, batch, run_ts)
         current = read_current(spark, layout.silver)
-        gold_rows = upsert_gold(gold_extended(current, run_ts, run_id), layout.gold, updated=None)
+        gold = gold_extended(current, run_ts, run_id)
+        updated = [c for c in gold.columns if c not in (*GOLD_CONTRACT.key, "created_at")]
+        gold_rows = upsert_gold(gold, layout.gold, updated=updated)
         refresh_daily_summary(current, layout.summary, run_ts.date(), run_ts)
         counters["records_loaded"] = changes["new"] + changes["version"] + gold_rows
         log_run(_record(spark, run_id, name, run_ts, "success", counters, started), layout.runs)

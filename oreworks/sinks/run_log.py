@@ -1,4 +1,4 @@
-"""Append-only log of runs."""
+"""Log of runs, one row per run."""
 
 from __future__ import annotations
 
@@ -6,11 +6,14 @@ import json
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.functions import ts_literal
+from oreworks.schemas import RUN_LOG_CONTRACT
+from oreworks.sinks.tables import replace_partitions
 
+_LOG_KEY = "log_key"
 COUNTERS = ("records_extracted", "records_processed", "records_loaded", "records_failed")
 
 
@@ -46,4 +49,17 @@ def run_record(
 
 
 def log_run(record: DataFrame, path: str) -> None:
-    record.write.mode("append").parquet(path)
+    """Write runs to the log. A repeated run takes the place of its earlier row.
+
+    Each run has a folder of its own, named by the contract's key; the letter before the id keeps
+    the name text. A row that lacks what the contract wants filled fails the write.
+    """
+    (key,) = RUN_LOG_CONTRACT.key
+    filled = record.withColumns({c: _filled(c) for c in RUN_LOG_CONTRACT.not_null})
+    keyed = filled.withColumn(_LOG_KEY, F.concat(F.lit("k"), F.col(key)))
+    replace_partitions(keyed, path, _LOG_KEY)
+
+
+def _filled(column: str) -> Column:
+    message = F.raise_error(F.lit(f"the run log needs {column}"))
+    return F.when(F.col(column).isNull(), message).otherwise(F.col(column))

@@ -93,6 +93,16 @@ def test_two_batches(spark, folder):
     assert spark.sql("SELECT * FROM v_pipeline_execution_history").count() == 2
 
 
+def test_a_second_run_of_a_day_keeps_when_its_rows_were_made(spark, folder):
+    layout = Layout(f"{folder}/lake")
+    land(f"{folder}/{DAY1:%d}", "crypto_1.json", FIRST)
+    for at in (DAY1, DAY1.replace(hour=5)):
+        found = read_json_arrays(spark, f"{folder}/{DAY1:%d}")
+        run_batch(spark, found, layout, at, RULES, 0.5)
+    row = spark.read.parquet(layout.gold).first()
+    assert row.created_at == DAY1 and row.metric_timestamp == DAY1.replace(hour=5)
+
+
 def test_a_failed_run_is_logged(spark, folder):
     layout = Layout(folder)
     broken = spark.createDataFrame([("a",)], "id string")

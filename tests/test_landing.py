@@ -274,6 +274,17 @@ def test_run_log(spark, folder):
     assert run_health(spark.read.parquet(folder), 1).count() == 1
 
 
+def test_a_repeated_run_has_one_row(spark, folder):
+    for status in ("failed", "success"):
+        log_run(run_record(spark, "2024", "p", AT, status), folder)
+    log_run(run_record(spark, "a/b c", "p", AT, "success"), folder)
+    rows = spark.read.parquet(folder).select("run_id", "status").collect()
+    assert sorted((r.run_id, r.status) for r in rows) == [("2024", "success"), ("a/b c", "success")]
+    nameless = run_record(spark, "x", "p", AT, "success").withColumn("run_id", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="the run log needs run_id"):
+        log_run(nameless, folder)
+
+
 def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(root)
