@@ -25,6 +25,8 @@ ROUNDS = 8
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
     rows = np.asarray(rows, dtype=np.float64)
+    # By the largest component first: squares of very large or small ones leave the range of doubles.
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -93,7 +95,7 @@ def _shared_earlier(a: np.ndarray, b: np.ndarray, cell: int) -> np.ndarray:
 def _compare(threshold: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         low, high, cell = int(group["low"].iat[0]), int(group["high"].iat[0]), int(group["cell"].iat[0])
-        group = group.sort_values(["block", "rep"], kind="stable")
+        group = group.sort_values(["block", "node"], kind="stable")
         first = group[group["block"] == low]
         second = first if low == high else group[group["block"] == high]
         out = {"a": [], "b": [], "links": []}
@@ -102,7 +104,7 @@ def _compare(threshold: float):
             pad = lambda cells: np.array([[*c, *[-9] * (width - len(c))] for c in cells])
             x, y = unit_rows(list(first["vec"])), unit_rows(list(second["vec"]))
             cx, cy = pad(first["cells"]), pad(second["cells"])
-            ids_x, ids_y = first["rep"].to_numpy(), second["rep"].to_numpy()
+            ids_x, ids_y = first["node"].to_numpy(), second["node"].to_numpy()
             n_x, n_y = first["copies"].to_numpy(), second["copies"].to_numpy()
             degree_x, degree_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
             tree: dict[int, int] = {}
@@ -155,21 +157,22 @@ def linked_vectors(
 
     Rows whose label, id or vector is null, whose vector is zero or empty, or holds a null or
     non-finite component link with nothing: no links, their own component, kept. Vectors of
-    different lengths never link. Repeated rows are vectors of their own.
+    different lengths never link. Repeated rows are vectors of their own, and so are rows that
+    repeat an id with another vector: the graph's nodes are distinct vectors, not ids.
     """
     vec = F.col(vec_col).cast("array<double>")
     every = rows.select(F.col(id_col).cast("bigint").alias("id"), vec.alias("vec"), F.col(label_col).alias("label"))
     usable = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & _usable("vec"), F.lit(False))
     every = every.withColumn("usable", usable)
     good = every.filter("usable")
-    distinct = good.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    # The label goes into the bucket's key, so one id per label and vector names the vector.
-    distinct = materialize(distinct, "vectors")
+    distinct = good.groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    # The number is written once with its vector, so all later steps read the same one.
+    distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "vectors")
     fitted = _fit(distinct, sample_size, cell_vectors, max_cells)
     kind = distinct.schema["label"].dataType.simpleString()
-    cells = distinct.mapInArrow(
+    cells = distinct.select("label", "vec", "node", "copies").mapInArrow(
         _assigned(fitted, probes),
-        f"label {kind}, vec array<double>, rep bigint, copies bigint, cells array<int>",
+        f"label {kind}, vec array<double>, node bigint, copies bigint, cells array<int>",
     )
     spread = cells.withColumn("cell", F.explode("cells")).withColumn("dim", F.size("vec"))
     dealt = in_blocks(spread, ["label", "dim", "cell"], "vec", 1024)
@@ -178,15 +181,20 @@ def linked_vectors(
     )
     met = materialize(met, "vector-links")
     degrees = met.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
-    tops = components(met.filter("b IS NOT NULL"), "a", "b")
+    tops = components(met.filter("b IS NOT NULL"), "a", "b").withColumnsRenamed({"node": "a", "component": "top"})
+    numbered = distinct.select("node", "least").join(tops, F.col("node") == F.col("a"), "left")
+    numbered = materialize(numbered.select("node", "least", F.coalesce("top", "node").alias("top")), "vector-tops")
+    # The smallest id of each component; vectors without links to others keep their own.
+    named = numbered.groupBy("top").agg(F.min("least").alias("component"))
+    named = numbered.join(named, "top").select(F.col("node").alias("_node"), "component")
     per_vector = (
-        distinct.join(degrees, F.col("rep") == F.col("a"), "left")
-        .join(tops, F.col("rep") == F.col("node"), "left")
+        distinct.join(degrees, F.col("node") == F.col("a"), "left")
+        .join(named, F.col("node") == F.col("_node"))
         .select(
             F.col("label").alias("_label"),
             F.col("vec").alias("_vec"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "rep").alias("component"),
+            "component",
         )
     )
     linked = good.join(per_vector, (F.col("label") == F.col("_label")) & (F.col("vec") == F.col("_vec")))
