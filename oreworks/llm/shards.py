@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,6 +44,33 @@ def _shuffled(seed: int):
     return run
 
 
+def _place(rows: DataFrame) -> Column:
+    """The place of a row in its Parquet file, also where a column has the name of the metadata."""
+    own = rows.metadataColumn("_metadata")
+    return F.xxhash64(own["file_path"], own["row_index"])
+
+
+def _with_place(rows: DataFrame) -> DataFrame:
+    """Rows straight from Parquet files, whose places a repeated task finds again."""
+    try:
+        rows.select(_place(rows))
+    except AnalysisException:
+        return materialize(rows, "unshuffled")
+    return rows
+
+
+def _hot_repeats(sizes: DataFrame, bucket_bytes: int) -> DataFrame:
+    """Hashes of repeated rows that hold more than half a bucket; at most two a bucket."""
+    per_hash = sizes.groupBy("hash").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    hot = per_hash.filter((F.col("n") > 1) & (F.col("bytes") > F.lit(bucket_bytes // 2)))
+    return materialize(hot.select(F.col("hash").alias("hot")), "hot-repeats")
+
+
+def _small(table: DataFrame, buckets: int) -> DataFrame:
+    """A table of at most two rows a bucket, broadcast up to so many buckets."""
+    return F.broadcast(table) if buckets <= BROADCAST_BUCKETS else table
+
+
 def shuffle_into_shards(
     rows: DataFrame,
     id_col: str,
@@ -57,7 +85,8 @@ def shuffle_into_shards(
     Pass one scatters the records by a seeded hash of id and text into as many buckets as their
     bytes need. Pass two shuffles each bucket in one task (Fisher-Yates, seeded by the bucket) and
     writes it. Buckets follow one another; a shard is a range of that order. Copies of a text have
-    ids of their own and spread over all buckets. Rows repeated with id and text share a bucket.
+    ids of their own and spread over all buckets. Rows that repeat id and text so often that they
+    fill half a bucket are scattered by their places in the files instead.
 
     The written table has the input's columns in ``row``, and ``bucket`` and ``place``. Returns it
     with ``size`` (UTF-8 bytes of the text plus 8), ``shard`` and ``slot`` added. The same rows and
@@ -65,14 +94,22 @@ def shuffle_into_shards(
     is open which is where. Null ids and texts are values like any other; no row gives no row.
     """
     text = F.col(text_col).cast("string")
+    size = (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)).cast("bigint").alias("size")
+    key = F.xxhash64(F.lit(seed), F.col(id_col), text).alias("hash")
     schema = row_schema(rows, "size bigint, hash bigint, bucket bigint, place bigint")
-    named = rows.select(
-        whole_row(rows).cast(schema["row"].dataType).alias("row"),
-        (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)).cast("bigint").alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col), text).alias("hash"),
-    )
-    total = rows.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8))).first()[0] or 0
+    total = rows.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
+    hot = _hot_repeats(rows.select(size, key), bucket_bytes)
+    scattered = not hot.isEmpty()
+    if scattered:
+        rows = _with_place(rows)
+    place = _place(rows) if scattered else F.lit(None).cast("bigint")
+    named = rows.select(whole_row(rows).cast(schema["row"].dataType).alias("row"), size, key, place.alias("at"))
+    if scattered:
+        named = named.join(_small(hot, buckets), F.col("hash") == F.col("hot"), "left")
+        own = F.when(F.col("hot").isNotNull(), F.xxhash64("hash", "at")).otherwise(F.col("hash"))
+        named = named.withColumn("hash", own)
+    named = named.select("row", "size", "hash")
     named = named.withColumn("bucket", F.pmod(F.col("hash"), F.lit(buckets)))
     dealt = named.repartition(buckets, "bucket").groupBy("bucket")
     path = path or shared_dir(rows.sparkSession, "shuffled")
@@ -93,9 +130,7 @@ def shuffle_into_shards(
         F.lit(longer) + F.floor(later / short)
     )
     slot = F.when(in_long, at % F.lit(least + 1)).otherwise(later % short)
-    starts = starts.select(F.col("bucket").alias("_b"), "start")
-    if buckets <= BROADCAST_BUCKETS:
-        starts = F.broadcast(starts)
+    starts = _small(starts.select(F.col("bucket").alias("_b"), "start"), buckets)
     placed = written.join(starts, F.col("bucket") == F.col("_b"))
     return placed.select(
         "row", "size", "bucket", "place", shard.cast("int").alias("shard"), slot.cast("bigint").alias("slot")

@@ -582,6 +582,19 @@ def test_vectors_against_all_pairs(spark):
     assert vectors.linked_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_one_id_are_nodes_of_their_own(spark):
+    """A repeated id with another vector shares nothing; components that are too large to square count."""
+    rows = [
+        (5, [1.0, 0.0], 0), (6, [1.0, 0.001], 0), (5, [0.0, 1.0], 0),
+        (7, [1e200, 1e200], 0), (8, [1e-200, 1e-200], 0), (9, [1e200, 1e200], 1),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    found = vectors.linked_vectors(frame).collect()
+    assert sorted((r.id, r.n_links, r.component, r.kept) for r in found) == [
+        (5, 0, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 7, True), (8, 1, 7, False), (9, 0, 9, True)
+    ]
+
+
 def test_vectors_compared_everywhere_lose_nothing(spark):
     """With one cell every pair of a label meets, so all is exact."""
     rng = np.random.default_rng(5)
@@ -615,6 +628,22 @@ def test_shards(spark):
     assert shards.shuffle_into_shards(frame.limit(0), "doc_id", "text").count() == 0
 
 
+def test_hot_repeated_rows_spread_over_buckets(spark, folder):
+    rows = spark.range(4_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "repeat('x', 92) AS text")
+    rows = rows.unionByName(spark.range(1_000).selectExpr("id AS doc_id", "concat('t', id) AS text"))
+    rows.coalesce(2).write.parquet(folder)
+    for frame in (spark.read.parquet(folder), rows):
+        found = shards.shuffle_into_shards(frame, "doc_id", "text", shards=5, bucket_bytes=40_000).collect()
+        assert len(found) == 5_000 and len({(r.shard, r.slot) for r in found}) == 5_000
+        hot, per_bucket = {}, {}
+        for r in found:
+            per_bucket[r.bucket] = per_bucket.get(r.bucket, 0) + r.size
+            if r.row.doc_id is None:
+                hot[r.bucket] = hot.get(r.bucket, 0) + 1
+        assert len(hot) == len(per_bucket) and max(per_bucket.values()) < 60_000
+        assert sorted(r.row.doc_id for r in found if r.row.doc_id is not None) == list(range(1_000))
+
+
 def test_fisher_yates_is_uniform():
     rng = np.random.default_rng(1)
     counts = {}
