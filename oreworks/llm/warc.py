@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from oreworks.sinks.files import shared_dir
 
 #: Smallest payload that a later record may refer to instead of holding it.
 MIN_SHARED_BYTES = 0
+#: WARC-Date of pages whose time of capture is not given.
+NO_DATE = datetime(1970, 1, 1)
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed values: RFC 4648
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 
@@ -32,18 +36,32 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def _record_id(number: Column) -> Column:
-    """A URN of the record's id; a record without an id has none."""
+    """A URN of the record's id; null without one."""
     return F.concat(F.lit("<urn:page:"), number.cast("string"), F.lit(">"))
 
 
-def _head(record_type: Column, page_id: Column, url: Column, digest: Column, refers: Column, length: Column) -> Column:
+def _own_id(number: Column, url: Column, digest: Column) -> Column:
+    """A record without an id is named by its URL and payload."""
+    named = F.sha2(F.concat_ws(" ", digest, url), 256)
+    return F.coalesce(_record_id(number), F.concat(F.lit("<urn:content:"), named, F.lit(">")))
+
+
+def _one_line(url: Column) -> Column:
+    """A URL whose line breaks are percent-encoded, so that it can't end its line of the head."""
+    return F.regexp_replace(F.regexp_replace(url, "\r", "%0D"), "\n", "%0A")
+
+
+def _head(
+    record_type: Column, page_id: Column, url: Column, digest: Column, refers: Column, length: Column, date: datetime
+) -> Column:
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     revisit = record_type == "revisit"
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", record_type),
-        F.coalesce(line("WARC-Record-ID", _record_id(page_id)), F.lit("")),
-        F.coalesce(line("WARC-Target-URI", F.regexp_replace(url, "[\r\n]+", " ")), F.lit("")),
+        line("WARC-Record-ID", _own_id(page_id, url, digest)),
+        F.lit(f"WARC-Date: {date:%Y-%m-%dT%H:%M:%SZ}\r\n"),
+        F.coalesce(line("WARC-Target-URI", _one_line(url)), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
         F.when(revisit, F.lit(f"WARC-Profile: {_PROFILE}\r\n")).otherwise(F.lit("")),
         F.when(revisit, line("WARC-Refers-To", _record_id(refers))).otherwise(F.lit("")),
@@ -60,6 +78,7 @@ def write_archive(
     url_col: str = "url",
     payload_col: str = "html",
     min_shared: int = MIN_SHARED_BYTES,
+    date: datetime = NO_DATE,
 ) -> None:
     """Write one record per page under ``path``: ``payloads`` and ``records``.
 
@@ -69,7 +88,9 @@ def write_archive(
     others are revisits of it with an empty block; records with smaller payloads are all responses.
 
     A null payload is empty. Null ids count as smallest; where all ids of equal payloads are null
-    all are responses, and so are rows that repeat the largest id. A null URL leaves its line out.
+    all are responses, and so are rows that repeat the largest id. A null URL leaves its line out,
+    line breaks in a URL are percent-encoded, and a null id is replaced by a name from URL and
+    payload, which repeated rows share. ``date`` (UTC) is the records' WARC-Date.
     Equal payloads combine in the reading tasks, so payload bytes move once, and a payload that
     many pages share hardly at all.
     """
@@ -89,7 +110,7 @@ def write_archive(
     kind = F.when(own, F.lit("response")).otherwise(F.lit("revisit"))
     records = keyed.join(owners, "address").withColumn("type", kind)
     length = F.when(F.col("type") == "response", F.col("bytes")).otherwise(F.lit(0))
-    head = _head(F.col("type"), F.col("id"), F.col("url"), F.col("sha1"), F.col("owner"), length)
+    head = _head(F.col("type"), F.col("id"), F.col("url"), F.col("sha1"), F.col("owner"), length, date)
     records.select(head.alias("head"), "address").write.parquet(f"{path}/records")
 
 
@@ -100,7 +121,7 @@ def _field(name: str) -> Column:
 
 def read_heads(spark: SparkSession, path: str) -> DataFrame:
     """What the heads say: type, ids, digest and length of each record, without any payload."""
-    number = lambda name: F.regexp_extract(_field(name), r"^<urn:page:(-?\d+)>$", 1).cast("bigint")
+    number = lambda name: F.regexp_extract(_field(name), r"^<urn:page:(-?\d+)>$", 1).try_cast("bigint")
     return spark.read.parquet(f"{path}/records").select(
         "head",
         "address",
@@ -127,15 +148,22 @@ def verified_payloads(spark: SparkSession, path: str) -> DataFrame:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Every record's type, reference, digest and full length, the payloads verified."""
     sizes = verified_payloads(spark, path).drop("payload")
-    return read_heads(spark, path).join(sizes, "address")
+    return _agreeing(read_heads(spark, path).join(sizes, "address"))
+
+
+def _agreeing(records: DataFrame) -> DataFrame:
+    """Records whose head states the digest that the payload has; another one stops the job."""
+    stated = F.col("payload_digest")
+    wrong = F.raise_error(F.concat(F.lit("damaged payload or head "), F.col("address"))).cast("string")
+    return records.withColumn("payload_digest", F.when(stated == F.col("found_digest"), stated).otherwise(wrong))
 
 
 def rebuild_records(spark: SparkSession, path: str) -> DataFrame:
     """The original records byte by byte, with the payload that a revisit stands for beside it."""
-    parts = read_heads(spark, path).join(verified_payloads(spark, path), "address")
+    parts = _agreeing(read_heads(spark, path).join(verified_payloads(spark, path), "address"))
     block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return parts.select(
-        "id", "record_type", "payload", F.concat(F.col("head"), block, F.lit(b"\r\n\r\n")).alias("record")
+        "id", "record_type", "payload_digest", "payload", F.concat(F.col("head"), block, F.lit(b"\r\n\r\n")).alias("record")
     )
 
 
