@@ -11,6 +11,7 @@ the states at the cuts, and every segment is then repaired on its own.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -126,6 +127,21 @@ def role_numbers(roles) -> list[int]:
     return [number.get(r.strip().lower(), 0) if isinstance(r, str) else 0 for r in roles]
 
 
+#: The marks of a rendered turn, and such marks behind escapes of their own.
+_MARK = re.compile(r"<(\\*)\|im_(start|end)\|>")
+_ESCAPED = re.compile(r"<\\(\\*)\|im_(start|end)\|>")
+
+
+def escaped(text: str) -> str:
+    """A text whose marks can't open or close a turn: one backslash more behind their first sign."""
+    return _MARK.sub(r"<\\\1|im_\2|>", text)
+
+
+def unescaped(text: str) -> str:
+    """What :func:`escaped` was given."""
+    return _ESCAPED.sub(r"<\1|im_\2|>", text)
+
+
 def rendered_turn(action: str, role: int, inserted: tuple[int, ...], text: str, first: bool) -> str:
     """What a turn adds to the conversation's text. A turn stays open until the next one starts."""
     begin = lambda r: f"<|im_start|>{ROLES[r - 1]}\n"
@@ -165,7 +181,7 @@ def repaired_turns(turns: list[dict]) -> list[tuple]:
     steps = repair(roles) if whole else repair(roles, head["before"], head["after"])
     rows = []
     for i, (turn, (action, role, inserted)) in enumerate(zip(turns, steps, strict=True)):
-        piece = rendered_turn(action, role, inserted, turn["text"] or "", turn["nth"] == 0)
+        piece = rendered_turn(action, role, inserted, escaped(turn["text"] or ""), turn["nth"] == 0)
         own = {"keep": 0, "merge": MERGE, "relabel": RELABEL}[action] + INSERT * len(inserted)
         closing: tuple[int, ...] = ()
         if last and i == len(steps) - 1:
@@ -213,7 +229,8 @@ def repair_roles(
 
     Turns are ordered by number, then role and text; a null number comes first, and repeated rows
     are turns of their own. A null conversation id is a conversation like any other. Null and
-    unknown roles must be relabelled, null texts are empty. The result is the cheapest one over the
+    unknown roles must be relabelled, null texts are empty. Marks of turns within a text are escaped
+    (``escaped``), so that no text makes turns of its own. The result is the cheapest one over the
     whole conversation; ties are settled in a fixed order.
 
     Rows are range-partitioned by conversation and turn, so that a conversation with a large share
