@@ -21,6 +21,10 @@ from oreworks.llm.shared import ascii_lower, text_slices
 from oreworks.sinks.files import materialize
 
 
+#: First letters that say which lengths a word may have.
+HEAD = 4
+
+
 class Rule(NamedTuple):
     verdict: str
     host: str
@@ -117,14 +121,19 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
     """``(name, words)`` for distinct names, split by the word counts.
 
-    Every substring of a name is joined to the counts, and the arcs of a name are gathered. A character of no known word costs as a word that
-    is ten times rarer than one seen once.
+    From each place of a name only those lengths are tried that words with the same first letters have, so a long name takes
+    few substrings a place, however long the longest word is. What is a word is joined to the counts, and the arcs of a name
+    are gathered. A character of no known word costs as a word that is ten times rarer than one seen once.
     """
     total = F.lit(float(counts.agg(F.sum("n")).first()[0] or 1))
     starts = names.select("name", F.explode(F.expr("sequence(0, char_length(name) - 1)")).alias("start"))
     rest = F.char_length("name") - F.col("start")
-    parts = starts.select("name", "start", F.explode(F.sequence(F.lit(1), rest)).alias("length"))
-    parts = parts.withColumn("word", F.expr("substr(name, start + 1, length)"))
+    short = starts.select("name", "start", F.explode(F.sequence(F.lit(1), F.least(rest, F.lit(HEAD - 1)))).alias("length"))
+    head = lambda column: F.substring(column, 1, HEAD)
+    lengths = counts.select(head("word").alias("head"), F.char_length("word").alias("length")).filter(F.col("length") >= HEAD)
+    long = starts.filter(rest >= HEAD).withColumn("head", F.expr(f"substr(name, start + 1, {HEAD})"))
+    long = long.join(lengths.distinct(), "head").filter(F.col("length") <= rest).select("name", "start", "length")
+    parts = short.unionByName(long).withColumn("word", F.expr("substr(name, start + 1, length)"))
     arcs = parts.join(counts, "word").select("name", F.struct("start", "length", F.log(F.col("n") / total).alias("p")).alias("arc"))
     arcs = arcs.groupBy("name").agg(F.collect_list("arc").alias("arcs"))
     unknown = F.log(F.lit(0.1) / total).alias("unknown")
