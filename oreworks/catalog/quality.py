@@ -13,6 +13,7 @@ from oreworks.operators import checks
 from oreworks.operators.validation import flag_payloads, flag_rows
 from oreworks.plans.adapters import AS_OF, market_snapshot, table
 from oreworks.schemas import TableContract
+from oreworks.sinks.contract_gate import write_checked
 from oreworks.sinks.files import materialize, shared_dir
 from oreworks.sinks.tables import read_quarantine, read_valid, write_flagged
 
@@ -374,3 +375,47 @@ def _contract_nulls(spark, sf_dir):
 def _contract_pk(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     return checks.contract_key_violations(lines, ["l_orderkey", "l_linenumber"])
+
+
+# Days of the first of two batches; the second one brings all days.
+_FIRST_DAYS = "DATE '2024-01-10'"
+_USER_DAY = TableContract(
+    not_null=("user_id", "event_type"), key=("user_id", "day"), partition_by=("day",), cluster_by=("user_id",)
+)
+
+
+@query(
+    "contract_write",
+    f"""WITH e AS (
+         SELECT event_id, user_id, CAST(ts AS DATE) AS day, nullif(event_type, 'error') AS event_type FROM events
+       ), b AS (
+         SELECT 1 AS batch, * FROM e WHERE day < {_FIRST_DAYS} UNION ALL SELECT 2, * FROM e
+       ), r AS (
+         SELECT *, event_type IS NOT NULL AND row_number() OVER (
+                  PARTITION BY batch, user_id, day, event_type IS NULL ORDER BY event_id DESC) > 1 AS repeated,
+                event_type IS NOT NULL AND batch = 2 AND day < {_FIRST_DAYS} AS held
+         FROM b
+       )
+       SELECT batch, event_id, day, concat_ws('|',
+                CASE WHEN event_type IS NULL THEN 'event_type_is_null' END,
+                CASE WHEN repeated THEN 'key_repeated' END,
+                CASE WHEN held THEN 'key_exists' END) AS errors
+       FROM r""",
+)
+def _contract_write(spark, sf_dir):
+    """Two batches under a contract: the newest event per user and day, the others with their reasons."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        "user_id",
+        F.col("ts").cast("date").alias("day"),
+        F.nullif("event_type", F.lit("error")).alias("event_type"),
+    )
+    path, rejected = shared_dir(spark, "user-days"), shared_dir(spark, "user-days-rejected")
+    batches = (events.filter(F.col("day") < F.expr(_FIRST_DAYS)), events)
+    for number, batch in enumerate(batches, 1):
+        marked = batch.withColumn("batch", F.lit(number))
+        write_checked(marked, _USER_DAY, path, rejected, f"batch{number}", newest=["event_id"])
+    kept = spark.read.parquet(path).withColumn("errors", F.lit(""))
+    aside = spark.read.parquet(rejected).withColumn("errors", F.array_join("validation_errors", "|"))
+    columns = ["batch", "event_id", "day", "errors"]
+    return kept.select(columns).unionByName(aside.select(columns))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -55,6 +55,10 @@ class RowRules:
     )
     non_negative: tuple[str, ...] = ("market_cap", "total_volume")
 
+    def with_required(self, columns: Sequence[str]) -> "RowRules":
+        """These rules with further columns that must be filled."""
+        return replace(self, not_null=tuple(dict.fromkeys([*self.not_null, *columns])))
+
     @classmethod
     def from_rule_list(cls, rules: Sequence[Mapping]) -> "RowRules":
         """Rules as a list of ``{"type": "not_null", "columns": [...]}`` entries."""

@@ -23,10 +23,10 @@ def row_errors(rules: RowRules) -> Column:
         found[f"{c}_out_of_range"] = out_of_range(F.col(c).try_cast("double"), low, high)
     for c in rules.non_negative:
         found[f"{c}_negative"] = F.col(c).try_cast("double") < 0
-    return _codes(found)
+    return codes(found)
 
 
-def _codes(tests: dict[str, Column]) -> Column:
+def codes(tests: dict[str, Column]) -> Column:
     """The codes whose test is met; taking nulls out this way stays in generated code."""
     nothing = F.array(F.lit(None).cast("string"))
     return F.array_except(F.array(*[F.when(t, code) for code, t in tests.items()]), nothing)
@@ -64,6 +64,6 @@ def flag_payloads(df: DataFrame, payload: str, required: Sequence[str]) -> DataF
         f"{f}_is_null": F.try_variant_get(F.col(payload), f"$.{f}", "string").isNull()
         for f in required
     }
-    return df.withColumn("validation_errors", _codes(missing)).withColumn(
+    return df.withColumn("validation_errors", codes(missing)).withColumn(
         "is_valid", F.size("validation_errors") == 0
     )

@@ -15,7 +15,8 @@ from oreworks.operators.gold import gold_extended
 from oreworks.operators.silver import to_silver
 from oreworks.operators.validation import flag_rows
 from oreworks.plans.gold_store import refresh_daily_summary, upsert_gold
-from oreworks.schemas import GOLD_CONTRACT
+from oreworks.schemas import BRONZE_CONTRACT, GOLD_CONTRACT, SILVER_CONTRACT
+from oreworks.sinks.contract_gate import keep_filled
 from oreworks.sinks.files import materialize
 from oreworks.sinks.run_log import log_run, run_record
 from oreworks.sinks.silver_store import CHANGES, merge_batch, read_current
@@ -45,6 +46,11 @@ class Layout:
     def summary(self) -> str:
         return f"{self.root}/daily_market_summary"
 
+    @property
+    def broken(self) -> str:
+        """Silver and Gold rows that break the contract of their table, by run."""
+        return f"{self.root}/contract_rejected"
+
     @property
     def runs(self) -> str:
         return f"{self.root}/run_log"
@@ -100,7 +106,9 @@ def run_batch(
 ) -> dict[str, int]:
     """Take Bronze records through all layers, and log the run, also when it fails.
 
-    A batch without a valid row is logged and changes nothing else.
+    A batch without a valid row is logged and changes nothing else. Rows reach a table only where
+    they keep its contract: records without a required Bronze field count as failed, Silver and Gold
+    rows that lack one go to ``layout.broken``.
     """
     started = _now()
     run_id = run_ts.strftime("%Y%m%d%H%M%S")
@@ -108,7 +116,7 @@ def run_batch(
     try:
         audited = add_load_audit(records, run_ts).drop("fraction_lost")
         validated = f"{layout.validated}/run_id={run_id}"
-        flagged = flag_rows(audited, rules)
+        flagged = flag_rows(audited, rules.with_required(BRONZE_CONTRACT.not_null))
         counts = write_flagged(flagged, validated)
         counters = {
             "records_extracted": counts["valid"] + counts["invalid"],
@@ -119,9 +127,11 @@ def run_batch(
             log_run(_record(spark, run_id, name, run_ts, "success", counters, started), layout.runs)
             return counters | {"records_loaded": 0} | dict.fromkeys(CHANGES, 0)
         batch = silver_batch(spark, validated, run_ts, price_threshold, buckets, flagged.schema)
+        batch = keep_filled(batch, SILVER_CONTRACT, f"{layout.broken}/silver", run_id, later=("valid_from",))
         changes = merge_batch(spark, layout.silver, batch, run_ts)
         current = read_current(spark, layout.silver)
         gold = gold_extended(current, run_ts, run_id)
+        gold = keep_filled(gold, GOLD_CONTRACT, f"{layout.broken}/gold", run_id)
         updated = [c for c in gold.columns if c not in (*GOLD_CONTRACT.key, "created_at")]
         gold_rows = upsert_gold(gold, layout.gold, updated=updated)
         refresh_daily_summary(current, layout.summary, run_ts.date(), run_ts)

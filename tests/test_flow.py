@@ -192,3 +192,18 @@ def test_parts_of_one_extraction_arrive_one_by_one(spark, folder):
     incremental_silver(spark, landing, root, checkpoint, RULES, 0.5, max_files=1)
     assert len(committed_runs(spark, root)) == 2
     assert sorted(r.coin_id for r in read_current(spark, root).collect()) == ["a", "b"]
+
+
+def test_records_that_break_the_contract_of_bronze_fail(spark, folder):
+    """The rules ask for a price only; the contract of the table still holds."""
+    layout = Layout(f"{folder}/tables")
+    rows = records(DAY1, ("a", 1.0, 5, 0.0), ("b", 2.0, 5, 0.0), ("c", 3.0, 5, 0.0))
+    rows[1]["source"] = None
+    rows[2]["name"] = None
+    land(f"{folder}/in", "crypto_1.json", rows)
+    found = read_json_arrays(spark, f"{folder}/in/*.json")
+    counts = run_batch(spark, found, layout, DAY1, RowRules(not_null=("current_price",)), 0.5)
+    assert (counts["records_failed"], counts["records_processed"], counts["new"]) == (2, 1, 1)
+    reasons = {r.id: r.validation_errors for r in rejected(spark, layout, DAY1).collect()}
+    assert reasons == {"b": ["source_is_null"], "c": ["name_is_null"]}
+    assert [r.coin_id for r in read_current(spark, layout.silver).collect()] == ["a"]
