@@ -108,6 +108,7 @@ def scd2_chain(
     tracked: Sequence[str] = TRACKED_COLUMNS,
     time: str = "extracted_at",
     seen_to: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Like :func:`scd2_changes` for a batch that observed its keys at several times.
 
@@ -116,9 +117,11 @@ def scd2_chain(
     later than the batch. A key has at most one row per time here, and tasks hold one row of it at
     a time. Neither key nor time may be null. ``seen_to`` names a column that gets the last time at
     which each key was observed, changed or not; ``current`` has it from the merge before.
+    ``unique`` says that the batch has one row per key and time already, which saves a shuffle.
     """
     key = list(key)
-    batch = latest_per_key(batch.drop(*VERSION_COLUMNS), [*key, time])
+    batch = batch.drop(*VERSION_COLUMNS)
+    batch = batch if unique else latest_per_key(batch, [*key, time])
     stamps = {"valid_from": F.col(time), "updated_at": F.col(time), "_old": F.lit(False)}
     rows = batch.withColumns(stamps | ({seen_to: F.col(time)} if seen_to else {}))
     if current is not None:

@@ -298,11 +298,11 @@ def merge_observations(
     late_buckets = sorted(r[0] for r in late.select(_bucket_of(key, state["buckets"])).distinct().collect()) if late else []
     own = rows.drop(_BUCKET)
     if not late_buckets:
-        changes = scd2_chain(current, own, key, tracked, time, _SEEN_TO)
+        changes = scd2_chain(current, own, key, tracked, time, _SEEN_TO, unique=True)
     else:
         on_time = own.join(late, list(key), "left_anti")
         others = current if current is None else current.join(late, list(key), "left_anti")
-        changes = scd2_chain(others, on_time, key, tracked, time, _SEEN_TO)
+        changes = scd2_chain(others, on_time, key, tracked, time, _SEEN_TO, unique=True)
         again, kept = _made_again(spark, root, state, runs, rows, late, late_buckets, key, tracked, time, seen_schema)
         changes = changes.unionByName(again, allowMissingColumns=True)
         if kept is not None:
@@ -366,7 +366,7 @@ def _made_again(spark, root, state, runs, rows, late, buckets, key, tracked, tim
         starts = starts.drop(*VERSION_COLUMNS, "change", _BUCKET, _SEEN_TO).withColumn(_REAL, F.lit(False))
         seen = seen.unionByName(starts, allowMissingColumns=True)
     seen = latest_per_key(seen, [*key, time], [_REAL, "last_updated", "extracted_at"]).drop(_REAL)
-    again = scd2_chain(None, seen, key, tracked, time, _SEEN_TO)
+    again = scd2_chain(None, seen, key, tracked, time, _SEEN_TO, unique=True)
     kept = None
     if closed is not None:
         kept = closed.drop(_BUCKET).join(late, list(key), "left_anti").withColumn("change", F.lit("kept"))
